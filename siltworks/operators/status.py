@@ -63,22 +63,21 @@ def merge_status(df: DataFrame, updates: DataFrame, on: str) -> DataFrame:
     columns = df.columns
     # A null status is a value like any other, hence the wrapping struct.
     wrapped = F.struct("status")
-    agreed = settle(
+    merged = settle(
         updates.filter(F.col(on).isNotNull())
         .groupBy(F.col(on).alias("_key"))
-        .agg(F.min(wrapped).alias("_low"), F.max(wrapped).alias("_high"))
-        .select(
-            "_key",
-            F.when(F.col("_low").eqNullSafe(F.col("_high")), F.col("_low.status"))
-            .otherwise(F.raise_error(F.lit("updates of one key disagree")))
-            .alias("_status"),
-            F.lit(True).alias("_matched"),
-        ),
+        .agg(F.min(wrapped).alias("_low"), F.max(wrapped).alias("_high")),
         "updates",
     )
+    disagree = ~F.col("_low").eqNullSafe(F.col("_high"))
     return (
-        df.join(agreed, df[on] == agreed["_key"], "left")
-        .withColumn("status", F.when(F.col("_matched"), F.col("_status")).otherwise(df["status"]))
+        df.join(merged, df[on] == merged["_key"], "left")
+        .withColumn(
+            "status",
+            F.when(F.col("_key").isNull(), F.col("status"))
+            .when(disagree, F.raise_error(F.lit("updates of one key disagree")))
+            .otherwise(F.col("_low.status")),
+        )
         .select(*columns)
     )
 
