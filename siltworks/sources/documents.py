@@ -53,8 +53,8 @@ def chunk_of(position: Column, total: Column, chunks: int) -> Column:
 
     Slice *i* covers the positions from ``int(total*i/chunks)`` up to the next slice.
     """
-    scaled = position * F.lit(chunks)
-    return F.floor((scaled + total - 1) / total).cast("int") - 1
+    scaled = position.cast("long") * F.lit(chunks)
+    return F.call_function("div", scaled + total - 1, total).cast("int") - 1
 
 
 def chunked(
