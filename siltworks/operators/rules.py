@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,10 +42,18 @@ def at_least(
 
 
 def _all(conditions: Sequence[Column]) -> Column:
-    met = F.lit(True)
-    for condition in conditions:
-        met = met & condition
-    return met
+    return reduce(and_, conditions, F.lit(True))
+
+
+def loadable(rules: Sequence[Rule], required: Sequence[str] = (), prefix: str = "") -> Column:
+    """Whether a record is clean or can be made so, as null tests that reach the scan."""
+    needed = [*required, *[rule.column for rule in rules if not rule.null_repairable]]
+    return _all([F.col(prefix + name).isNotNull() for name in needed])
+
+
+def unrepairable(rules: Sequence[Rule], required: Sequence[str] = (), prefix: str = "") -> Column:
+    """The opposite of :func:`loadable`."""
+    return ~loadable(rules, required, prefix)
 
 
 def outcome(rules: Sequence[Rule], required: Sequence[str] = (), prefix: str = "") -> Column:
@@ -51,14 +61,11 @@ def outcome(rules: Sequence[Rule], required: Sequence[str] = (), prefix: str = "
 
     A record without a value in a ``required`` field is unrepairable.
     """
-    present = [F.col(prefix + name).isNotNull() for name in required]
     passing = [F.coalesce(rule.passes(F.col(prefix + rule.column)), F.lit(False)) for rule in rules]
-    mendable = [
-        F.col(prefix + rule.column).isNotNull() for rule in rules if not rule.null_repairable
-    ]
+    can_load = loadable(rules, required, prefix)
     return (
-        F.when(_all([*present, *passing]), CLEAN)
-        .when(_all([*present, *mendable]), REPAIRABLE)
+        F.when(_all([can_load, *passing]), CLEAN)
+        .when(can_load, REPAIRABLE)
         .otherwise(UNREPAIRABLE)
     )
 

@@ -11,16 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltworks.operators import rules
 from siltworks.operators.columns import add_metadata, expand_struct, explode_column
 from siltworks.operators.distinct import append_all, duplicates
 from siltworks.operators.filters import non_blank
 from siltworks.operators.joins import replace_with_key
 from siltworks.operators.keys import dense_key
-from siltworks.operators.rules import CLEAN, REPAIRABLE, UNREPAIRABLE, classify, outcome, repair
 from siltworks.operators.status import LOADED, QUARANTINED, apply_status
 from siltworks.plans.spec import Spec
 from siltworks.sources.documents import read_landing
-from siltworks.sources.tables import ensure_database, publish, register_table, write_table
+from siltworks.sources.tables import ensure_database, publish
 
 
 def bronze_rows(documents: DataFrame, array: str, spec: Spec, datasource: str) -> DataFrame:
@@ -60,7 +60,7 @@ def classified(bronze: DataFrame, spec: Spec) -> DataFrame:
     The attribute dimension is made of all bronze rows, so an attribute finds its
     key exactly where it is not null.
     """
-    rows = classify(bronze, spec.rules, [spec.attribute], prefix=f"{spec.record}.")
+    rows = rules.classify(bronze, spec.rules, [spec.attribute], prefix=f"{spec.record}.")
     return rows.withColumn(
         "outcome", F.when(F.col(spec.record).isNotNull(), F.col("outcome"))
     )
@@ -68,7 +68,7 @@ def classified(bronze: DataFrame, spec: Spec) -> DataFrame:
 
 def first_status(bronze: DataFrame, spec: Spec) -> DataFrame:
     """Load status before repair: clean records are loaded, all others quarantined."""
-    status = F.when(F.col("outcome") == CLEAN, LOADED).when(
+    status = F.when(F.col("outcome") == rules.CLEAN, LOADED).when(
         F.col("outcome").isNotNull(), QUARANTINED
     )
     return (
@@ -84,16 +84,14 @@ def loadable(bronze: DataFrame, attributes: DataFrame, spec: Spec) -> DataFrame:
     ``attributes`` is the written attribute dimension.
     """
     fields = expand_struct(bronze, spec.record, keep=False)
-    kept = classify(fields, spec.rules, [spec.attribute]).filter(
-        F.col("outcome").isin(CLEAN, REPAIRABLE)
-    )
+    kept = fields.filter(rules.loadable(spec.rules, [spec.attribute]))
     return replace_with_key(
-        repair(kept, spec.rules),
+        rules.repair(kept, spec.rules),
         spec.attribute,
         attributes,
         spec.attribute_name,
         spec.attribute_key,
-        drop=[spec.tags, "outcome"],
+        drop=[spec.tags],
     )
 
 
@@ -109,15 +107,16 @@ def final_status(bronze: DataFrame, spec: Spec) -> DataFrame:
     when it could not be repaired; a single unrepairable record stays quarantined.
     Rows without a record keep the status they have.
     """
-    rows = classified(bronze, spec)
-    unrepairable = F.col("outcome") == UNREPAIRABLE
-    settled = rows.filter(F.col("outcome").isNull() | ~unrepairable).withColumn(
-        "status", F.when(F.col("outcome").isNull(), F.col("status")).otherwise(LOADED)
-    )
-    stuck = rows.filter(unrepairable).withColumn("status", F.lit(QUARANTINED))
+    fields = f"{spec.record}."
+    no_record = F.col(spec.record).isNull()
+    loaded = bronze.filter(
+        no_record | rules.loadable(spec.rules, [spec.attribute], fields)
+    ).withColumn("status", F.when(no_record, F.col("status")).otherwise(LOADED))
+    stuck = bronze.filter(~no_record).filter(
+        rules.unrepairable(spec.rules, [spec.attribute], fields)
+    ).withColumn("status", F.lit(QUARANTINED))
     repeated = duplicates(stuck, spec.record)
-    stuck = apply_status(stuck, repeated, LOADED, on=spec.record)
-    return append_all(settled, stuck).drop("outcome")
+    return append_all(loaded, apply_status(stuck, repeated, LOADED, on=spec.record))
 
 
 def refine(

@@ -13,6 +13,7 @@ from siltworks.operators.filters import where_all
 from siltworks.operators.joins import join_using
 from siltworks.operators.status import LOADED, NEW, QUARANTINED
 from siltworks.sources.tables import register_table, write_table
+from siltworks.staging import settle
 
 
 def single_occurrence(
@@ -21,14 +22,24 @@ def single_occurrence(
     healthy: Sequence[Column | str],
     unfiltered: bool = False,
 ) -> DataFrame:
-    """Records whose identifier has exactly one healthy record.
+    """Records whose identifier has exactly one healthy record, identifier first.
 
     Only that healthy record is returned. ``unfiltered`` returns all records of the
     identifier, unhealthy ones included. Records without an identifier disappear.
     """
-    fit = where_all(records, *healthy)
-    ids = singletons(fit, identifier).select(identifier)
-    return join_using(ids, records if unfiltered else fit, identifier)
+    fit = where_all(records, *healthy, F.col(identifier).isNotNull())
+    if unfiltered:
+        ids = settle(singletons(fit, identifier).select(identifier), "ids")
+        return join_using(ids, records, identifier)
+    # The only record of a group is any of its records, so no join back is needed
+    # and an identifier with many records leaves one row per map task.
+    rest = [c for c in records.columns if c.lower() != identifier.lower()]
+    return (
+        fit.groupBy(identifier)
+        .agg(F.count("*").alias("_occurrences"), F.any_value(F.struct(*rest)).alias("_rest"))
+        .filter("_occurrences < 2")
+        .select(identifier, "_rest.*")
+    )
 
 
 def entity_bronze(entity: DataFrame, datasource: str) -> DataFrame:

@@ -90,3 +90,26 @@ def split_documents(documents: DataFrame, array: str, chunks: int) -> DataFrame:
 def write_chunks(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write rows with a ``chunk`` column as JSON Lines, one folder per chunk."""
     df.write.mode(mode).partitionBy("chunk").json(path)
+
+
+def documents_of(
+    df: DataFrame, array: str, rows_per_document: int, order_by: Sequence[str]
+) -> DataFrame:
+    """Pack rows, in order, into documents that each hold an array of at most
+    ``rows_per_document`` structs, numbered by ``document``."""
+    position = F.col("_position") - 1
+    return (
+        dense_key(df, "_position", order_by)
+        .select(
+            F.call_function("div", position, F.lit(rows_per_document)).alias("document"),
+            F.struct("_position", F.struct(*df.columns).alias("_row")).alias("_item"),
+        )
+        .groupBy("document")
+        .agg(F.sort_array(F.collect_list("_item")).alias("_items"))
+        .select("document", F.col("_items._row").alias(array))
+    )
+
+
+def write_documents(documents: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write each document as one JSON file in a folder of its own."""
+    documents.write.mode(mode).partitionBy("document").json(path)
