@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltworks.functions.text import fixed_width
 from siltworks.operators import columns, distinct, filters, joins, keys, status
@@ -30,7 +31,7 @@ RECORD_FIELDS = ["Id", "Budget", "RunTime", "OriginalLanguage", "CreatedDate"]
 
 
 def query(function: Query) -> Query:
-    REGISTRY["q_" + function.__name__] = function
+    REGISTRY["q_" + function.__name__.rstrip("_")] = function
     return function
 
 
@@ -45,13 +46,13 @@ def _in_database(spark: SparkSession, label: str) -> str:
 # Scans, sources and sinks
 
 
-def _order_documents(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+def _order_documents(spark: SparkSession, sf_dir: str) -> tuple[str, StructType]:
     """Orders as JSON documents of up to 2,000 orders, with the schema to read them."""
     orders = table(spark, sf_dir, "orders")
     path = staged_path(spark, "documents")
     packed = documents.documents_of(orders, "orders", ROWS_PER_DOCUMENT, ["o_orderkey"])
     documents.write_documents(packed, path)
-    return path, packed.select("orders").schema.simpleString()[len("struct<"):-1]
+    return path, packed.select("orders").schema
 
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
@@ -91,8 +92,7 @@ def landing_glob(spark, sf_dir):
 def landing_stream(spark, sf_dir):
     path, orders = _order_lines(spark, sf_dir)
     stream = landing.stream_landing(
-        spark, path, orders.schema.simpleString()[len("struct<"):-1].replace(":", " "),
-        name_glob="*.json", multi_line=False,
+        spark, path, orders.schema, name_glob="*.json", multi_line=False
     )
     loaded = staged_path(spark, "loaded")
     rows = columns.add_metadata(stream, "orders")
@@ -359,8 +359,8 @@ def split_at_or_above(spark, sf_dir):
 
 @query
 def blank_split(spark, sf_dir):
-    tags = columns.explode_column(bronze(spark, sf_dir), "value.genres", "tag", ["value.Id"])
-    blank, named = filters.split_blank(tags.select("Id", "tag.*"), "name")
+    tags = columns.explode_column(bronze(spark, sf_dir), "value.genres", "tag")
+    blank, named = filters.split_blank(columns.expand_struct(tags, "tag", keep=False), "name")
     return (
         blank.withColumn("side", F.lit("blank"))
         .unionByName(named.withColumn("side", F.lit("named")))
@@ -440,13 +440,10 @@ def singletons(spark, sf_dir):
 
 
 @query
-def distinct_keys(spark, sf_dir):
+def distinct_(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_regionkey").distinct()
 
 
-REGISTRY["q_distinct"] = REGISTRY.pop("q_distinct_keys")
-
-
 @query
 def distinct_struct(spark, sf_dir):
     tags = columns.explode_column(bronze(spark, sf_dir), "value.genres", "tag").distinct()
@@ -578,7 +575,7 @@ def bronze_status(spark, sf_dir):
 
 
 @query
-def checks_end(spark, sf_dir):
+def checks_(spark, sf_dir):
     rows = bronze(spark, sf_dir)
     return checks.end_state(
         refine.final_status(rows, SPEC),
@@ -588,9 +585,6 @@ def checks_end(spark, sf_dir):
     )
 
 
-REGISTRY["q_checks"] = REGISTRY.pop("q_checks_end")
-
-
 HEALTHY = ("RunTime >= 0", "Budget > 100000")
 
 
