@@ -13,13 +13,16 @@ from siltworks.staging import settle
 # monotonically_increasing_id() holds the partition above this many row bits.
 _ROW_BITS = 33
 
+# Up to this many rows are numbered by one task.
+SMALL_ROWS = 10_000
+
 
 def dense_key(
     df: DataFrame,
     key: str,
     order_by: Sequence[str],
     replayable: bool = False,
-    partitions: int | None = None,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Number all rows 1..n in ascending order, nulls first, as a leading long column.
 
@@ -33,16 +36,21 @@ def dense_key(
 
     ``replayable`` says that ``df`` reads its rows in the same order each time, as
     a scan with projections, filters and generators does; otherwise it is written
-    out first, for the tie-break to be the same when a lost task runs again.
+    out first, for the tie-break to be the same when a lost task runs again. Its
+    rows are then counted too, and no more than ``small_rows`` take the short way.
     """
     columns = df.columns
     named = {name.lower() for name in order_by}
-    order = [*order_by, *[c for c in columns if c.lower() not in named], "_tie"]
-    source = df if replayable else settle(df, "unnumbered")
-    tied = source.withColumn("_tie", F.monotonically_increasing_id())
-    ranges = [partitions, *order] if partitions else order
+    order = [*order_by, *[c for c in columns if c.lower() not in named]]
+    if not replayable:
+        df = settle(df, "unnumbered")
+        if df.count() <= small_rows:
+            number = F.row_number().over(Window.orderBy(*order)).cast("long")
+            return df.select(number.alias(key), *columns)
+    order.append("_tie")
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
     placed = settle(
-        tied.repartitionByRange(*ranges)
+        tied.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .drop("_tie")
         .withColumn("_place", F.monotonically_increasing_id()),

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltworks.operators.keys import dense_key
-from siltworks.staging import settle
 
 
 def read_json(
@@ -62,14 +61,16 @@ def chunked(
     chunks: int,
     order_by: Sequence[str],
     overlap: bool = False,
+    replayable: bool = False,
 ) -> DataFrame:
     """Add a leading ``chunk`` number 0..chunks-1 to the rows in the given order.
 
     The chunks are disjoint. With ``overlap``, chunk 0 is the first slice and each
     later chunk *k* runs from slice *k* to the end, so that rows of slice *k* come
-    *k* times: a way to make inputs full of copies.
+    *k* times: a way to make inputs full of copies. For ``replayable`` see
+    :func:`~siltworks.operators.keys.dense_key`.
     """
-    numbered = settle(dense_key(df, "_position", order_by), "positions")
+    numbered = dense_key(df, "_position", order_by, replayable)
     total = numbered.agg(F.count("*")).scalar()
     placed = numbered.select(
         chunk_of(F.col("_position"), total, chunks).alias("chunk"), *df.columns
@@ -93,13 +94,17 @@ def write_chunks(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def documents_of(
-    df: DataFrame, array: str, rows_per_document: int, order_by: Sequence[str]
+    df: DataFrame,
+    array: str,
+    rows_per_document: int,
+    order_by: Sequence[str],
+    replayable: bool = False,
 ) -> DataFrame:
     """Pack rows, in order, into documents that each hold an array of at most
     ``rows_per_document`` structs, numbered by ``document``."""
     position = F.col("_position") - 1
     return (
-        dense_key(df, "_position", order_by)
+        dense_key(df, "_position", order_by, replayable)
         .select(
             F.call_function("div", position, F.lit(rows_per_document)).alias("document"),
             F.struct("_position", F.struct(*df.columns).alias("_row")).alias("_item"),

@@ -131,10 +131,10 @@ PLAIN = {
             SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders
         ),
         within AS (
-            SELECT o_orderkey, pos % 2000 AS at, count(*) OVER (PARTITION BY pos // 2000) AS cnt
+            SELECT o_orderkey, pos % 2000 AS place, count(*) OVER (PARTITION BY pos // 2000) AS cnt
             FROM placed
         )
-        SELECT CAST(ceil(8 * (at + 1) / cnt) AS INTEGER) - 1 AS chunk, o_orderkey FROM within""",
+        SELECT CAST(ceil(8 * (place + 1) / cnt) AS INTEGER) - 1 AS chunk, o_orderkey FROM within""",
     "q_add_metadata": """
         SELECT 'orders file' AS datasource, 'new' AS status, count(*) AS n, count(*) AS n_dated
         FROM orders""",
@@ -177,7 +177,7 @@ PLAIN = {
             FROM lineitem GROUP BY l_orderkey HAVING count(l_orderkey) < 2
         ) USING (o_orderkey)""",
     "q_in_semi": "SELECT * FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)",
-    "q_not_in_anti": "SELECT * FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)",
+    "q_not_in_anti": "SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
     "q_duplicates": "SELECT text, count(*) AS copies FROM documents GROUP BY text HAVING count(*) > 1",
     "q_singletons": """
         SELECT l_orderkey, count(l_orderkey) AS occurrences

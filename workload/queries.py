@@ -15,7 +15,7 @@ from siltworks.plans.spec import PEOPLE_SCHEMA
 from siltworks.sources import delimited, documents, files, tables
 from siltworks.staging import settle, staged_path
 from siltworks.streaming import landing
-from workload.bronze import SPEC, bronze, records, table
+from workload.bronze import SPEC, bronze, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,7 +50,9 @@ def _order_documents(spark: SparkSession, sf_dir: str) -> tuple[str, StructType]
     """Orders as JSON documents of up to 2,000 orders, with the schema to read them."""
     orders = table(spark, sf_dir, "orders")
     path = staged_path(spark, "documents")
-    packed = documents.documents_of(orders, "orders", ROWS_PER_DOCUMENT, ["o_orderkey"])
+    packed = documents.documents_of(
+        orders, "orders", ROWS_PER_DOCUMENT, ["o_orderkey"], replayable=True
+    )
     documents.write_documents(packed, path)
     return path, packed.select("orders").schema
 
@@ -193,13 +195,14 @@ def _chunk_summary(spark: SparkSession, chunks: DataFrame) -> DataFrame:
 @query
 def json_split(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    return _chunk_summary(spark, documents.chunked(orders, 8, ["o_orderkey"]))
+    return _chunk_summary(spark, documents.chunked(orders, 8, ["o_orderkey"], replayable=True))
 
 
 @query
 def json_split_overlap(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    return _chunk_summary(spark, documents.chunked(orders, 8, ["o_orderkey"], overlap=True))
+    chunks = documents.chunked(orders, 8, ["o_orderkey"], overlap=True, replayable=True)
+    return _chunk_summary(spark, chunks)
 
 
 @query
@@ -417,7 +420,7 @@ def in_semi(spark, sf_dir):
 @query
 def not_in_anti(spark, sf_dir):
     return joins.not_in(
-        table(spark, sf_dir, "part"), "p_partkey", table(spark, sf_dir, "lineitem"), "l_partkey"
+        table(spark, sf_dir, "orders"), "o_orderkey", table(spark, sf_dir, "lineitem"), "l_orderkey"
     )
 
 
@@ -634,9 +637,8 @@ def entity_bronze(spark, sf_dir):
 
 @query
 def full_refresh(spark, sf_dir):
-    rows = records(spark, sf_dir)
-    copies = rows.filter("Id % 10 = 0")
-    packed = documents.documents_of(rows.unionByName(copies), "movie", ROWS_PER_DOCUMENT, ["Id"])
+    rows = columns.expand_struct(bronze(spark, sf_dir), "value", keep=False)
+    packed = documents.documents_of(rows, "movie", ROWS_PER_DOCUMENT, ["Id"], replayable=True)
     source = staged_path(spark, "landing")
     packed.drop("document").write.json(source)
     schema = packed.select("movie").schema
