@@ -17,6 +17,28 @@ _ROW_BITS = 33
 SMALL_ROWS = 10_000
 
 
+def placed_rows(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows written in ordered ranges, with their ``_slice`` and ``_position`` within it.
+
+    Rows that are equal in ``order`` are told apart by their place in the input, so
+    that many of them do not end up in one slice.
+    """
+    place = F.col("_place")
+    return settle(
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(*order, "_tie")
+        .sortWithinPartitions(*order, "_tie")
+        .drop("_tie")
+        .withColumn("_place", F.monotonically_increasing_id())
+        .select(
+            F.shiftright(place, _ROW_BITS).alias("_slice"),
+            place.bitwiseAND((1 << _ROW_BITS) - 1).alias("_position"),
+            *df.columns,
+        ),
+        "placed",
+    )
+
+
 def dense_key(
     df: DataFrame,
     key: str,
@@ -47,28 +69,16 @@ def dense_key(
         if df.count() <= small_rows:
             number = F.row_number().over(Window.orderBy(*order)).cast("long")
             return df.select(number.alias(key), *columns)
-    order.append("_tie")
-    tied = df.withColumn("_tie", F.monotonically_increasing_id())
-    placed = settle(
-        tied.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .drop("_tie")
-        .withColumn("_place", F.monotonically_increasing_id()),
-        "numbered",
-    )
-    slice_of = F.shiftright("_place", _ROW_BITS)
-    counts = placed.groupBy(slice_of.alias("_slice")).agg(F.count("*").alias("_rows"))
+    placed = placed_rows(df, order)
+    counts = placed.groupBy("_slice").agg(F.count("*").alias("_rows"))
     # One row per partition of the sort above, so this order fits one task and
     # the offsets fit a broadcast whatever the number of rows.
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     )
-    position = F.col("_place").bitwiseAND((1 << _ROW_BITS) - 1)
-    return (
-        placed.withColumn("_slice", slice_of)
-        .join(F.broadcast(offsets), "_slice")
-        .select((F.col("_offset") + position + 1).alias(key), *columns)
+    return placed.join(F.broadcast(offsets), "_slice").select(
+        (F.col("_offset") + F.col("_position") + 1).alias(key), *columns
     )
 
 

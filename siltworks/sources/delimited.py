@@ -39,11 +39,12 @@ def read_tsv(
     return rows.na.fill("", texts) if texts else rows
 
 
-def csv_writer(df: DataFrame, mode: str = "errorifexists", line_end: str = "\r\n") -> DataFrameWriter:
+def csv_writer(df: DataFrame, mode: str = "errorifexists", line_end: str = "\n") -> DataFrameWriter:
     """An unstarted writer of comma-separated files with a header.
 
     A field is quoted only where needed, with quotes doubled inside, and an empty
-    text is written as nothing.
+    text is written as nothing. With another ``line_end``, line feeds inside texts
+    are written as that too.
     """
     return (
         df.write.format("csv")

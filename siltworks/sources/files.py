@@ -11,7 +11,8 @@ from siltworks.functions.text import fixed_width
 def inventory(spark: SparkSession, path: str) -> DataFrame:
     """Name, type, size and modification time of the files below ``path``, without reading them.
 
-    The type is the file extension.
+    The type is the file extension. Empty files, and those whose names start with
+    ``_`` or ``.``, are not data to Spark and are left out.
     """
     name = F.element_at(F.split("path", "/"), -1)
     return (
