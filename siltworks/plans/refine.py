@@ -20,7 +20,9 @@ from siltworks.operators.joins import replace_with_key
 from siltworks.operators.keys import dense_key
 from siltworks.operators.status import LOADED, QUARANTINED, apply_status
 from siltworks.plans.spec import Spec
+from siltworks.session import sized_shuffles
 from siltworks.sources.documents import read_landing
+from siltworks.sources.files import inventory
 from siltworks.sources.tables import ensure_database, publish
 
 
@@ -139,7 +141,8 @@ def refine(
     Returns the qualified table names by role. Bronze is written as it arrives and
     published once more with the final status; every silver table is written once.
     """
-    ensure_database(spark, database)
+    # Dropping a database clears its own folder, so that holds no table.
+    ensure_database(spark, database, f"{root.rstrip('/')}/database")
     tables = {role: f"{database}.{name}" for role, name in spec.tables.items()}
     paths = {role: f"{root.rstrip('/')}/{name}" for role, name in spec.tables.items()}
     documents = read_landing(spark, landing, schema, name_glob, multi_line=multi_line)
@@ -148,11 +151,13 @@ def refine(
         publish(df, tables[role], paths[role], fmt, partition_by)
         return spark.read.table(tables[role])
 
+    found = inventory(spark, landing, name_glob, recursive=False)
     by_date = ("ingestdate",)
-    bronze = save(bronze_rows(documents, array, spec, datasource), "bronze", by_date)
-    save(tag_dimension(bronze, spec), "tag")
-    save(bridge(bronze, spec), "bridge")
-    attributes = save(attribute_dimension(bronze, spec), "attribute")
-    save(silver(bronze, attributes, spec), "silver")
-    save(final_status(bronze, spec), "bronze", by_date)
+    with sized_shuffles(spark, found.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]):
+        bronze = save(bronze_rows(documents, array, spec, datasource), "bronze", by_date)
+        save(tag_dimension(bronze, spec), "tag")
+        save(bridge(bronze, spec), "bridge")
+        attributes = save(attribute_dimension(bronze, spec), "attribute")
+        save(silver(bronze, attributes, spec), "silver")
+        save(final_status(bronze, spec), "bronze", by_date)
     return tables

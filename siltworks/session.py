@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # The joins here carry no broadcast hints on data-sized inputs: Catalyst picks a
@@ -28,3 +31,29 @@ def local_session(cores: int | str = 8, name: str = "siltworks", **extra: str) -
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+BYTES_PER_TASK = 128 << 20
+MOST_PARTITIONS = 50_000
+
+
+@contextmanager
+def sized_shuffles(
+    spark: SparkSession, input_bytes: int, bytes_per_task: int = BYTES_PER_TASK
+) -> Iterator[int]:
+    """Run the actions of a block with enough shuffle partitions for their input.
+
+    Adaptive execution merges partitions that turn out small but cannot make more of
+    them, so a session's default is too few for a large input. The number never falls
+    below that default, nor rises beyond what a driver can keep track of; partitions
+    larger than a task's memory spill.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    wanted = min(-(-input_bytes // bytes_per_task), MOST_PARTITIONS)
+    partitions = max(wanted, int(before))
+    spark.conf.set(name, str(partitions))
+    try:
+        yield partitions
+    finally:
+        spark.conf.set(name, before)

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from siltworks.functions.text import fixed_width
 
 
-def inventory(spark: SparkSession, path: str) -> DataFrame:
+def inventory(
+    spark: SparkSession, path: str, name_glob: str = "*", recursive: bool = True
+) -> DataFrame:
     """Name, type, size and modification time of the files below ``path``, without reading them.
 
     The type is the file extension. Empty files, and those whose names start with
@@ -17,7 +19,8 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     name = F.element_at(F.split("path", "/"), -1)
     return (
         spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
+        .option("recursiveFileLookup", recursive)
+        .option("pathGlobFilter", name_glob)
         .load(path)
         .select(
             name.alias("name"),

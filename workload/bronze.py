@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltworks.operators.rules import at_least
 from siltworks.plans.spec import Spec
@@ -26,7 +27,7 @@ SPEC = Spec(
     attribute_name="language",
 )
 
-_written: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str], tuple[str, StructType]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,14 +42,12 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").cast("long").alias("id"),
         F.when(F.col("p_type") == "PROMO", "").otherwise(F.col("p_type")).alias("name"),
     )
-    # Distinct before collecting: an order's array holds each tag once, so it stays
-    # as small as the tag dimension however many lines the order has.
+    # The set of an order holds each tag once, so it stays as small as the tag
+    # dimension however many lines the order has, and map tasks combine theirs first.
     tags = (
         lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .select("l_orderkey", F.struct("id", "name").alias("tag"))
-        .distinct()
         .groupBy("l_orderkey")
-        .agg(F.sort_array(F.collect_list("tag")).alias("genres"))
+        .agg(F.sort_array(F.collect_set(F.struct("id", "name"))).alias("genres"))
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     orders = table(spark, sf_dir, "orders")
@@ -82,9 +81,9 @@ def build(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bronze table of a session and data folder, written at its first use."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    rows = build(spark, sf_dir)
     if key not in _written:
-        path = staged_path(spark, "bronze")
+        rows, path = build(spark, sf_dir), staged_path(spark, "bronze")
         rows.write.parquet(path)
-        _written[key] = path
-    return spark.read.schema(rows.schema).parquet(_written[key])
+        _written[key] = path, rows.schema
+    path, schema = _written[key]
+    return spark.read.schema(schema).parquet(path)
