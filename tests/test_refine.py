@@ -10,6 +10,7 @@ from siltworks.plans import checks, refine
 from siltworks.plans.spec import MOVIE_ARRAY, MOVIE_DATASOURCE, MOVIE_SCHEMA, movie_spec
 from siltworks.sources.tables import read_table
 from siltworks.staging import settle
+from workload import stepwise
 from workload.bronze import SPEC, bronze
 
 ACTION = [{"id": 1, "name": "Action"}]
@@ -163,3 +164,16 @@ def test_derived_records(spark, scale):
         final["quarantined"],
     )
     assert found == EXPECTED[scale]
+
+
+def test_one_pass_equals_table_rewrites(spark):
+    records = bronze(spark, "/root/testdata/sf0.001")
+    languages = settle(refine.attribute_dimension(records, SPEC))
+    bridge, silver, final = stepwise.refresh(spark, records)
+    pairs = ["movieid", "genreid"]
+    for ours, theirs in (
+        (refine.bridge(records, SPEC).select(*pairs), bridge.select(*pairs)),
+        (refine.silver(records, languages, SPEC), silver),
+        (refine.final_status(records, SPEC), final),
+    ):
+        assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
