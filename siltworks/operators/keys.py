@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from siltworks.functions.identity import row_key
 from siltworks.staging import settle
 
 # monotonically_increasing_id() holds the partition above this many row bits.
@@ -17,11 +18,12 @@ _ROW_BITS = 33
 SMALL_ROWS = 10_000
 
 
-def placed_rows(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def placed_rows(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """Rows written in ordered ranges, with their ``_slice`` and ``_position`` within it.
 
     Rows that are equal in ``order`` are told apart by their place in the input, so
-    that many of them do not end up in one slice.
+    that many of them do not end up in one slice. Spark samples the order columns to
+    find the ranges, so they should be narrow.
     """
     place = F.col("_place")
     return settle(
@@ -48,22 +50,23 @@ def dense_key(
 ) -> DataFrame:
     """Number all rows 1..n in ascending order, nulls first, as a leading long column.
 
-    Remaining columns break ties, so that only exact copies are interchangeable
-    and the ids repeat from run to run.
+    A hash of the remaining columns breaks ties, so that in effect only exact copies
+    are interchangeable and the ids repeat from run to run.
 
     Rows are range-partitioned, sorted within partitions and written with their
     position. The offset of each partition is then a running sum over one count
     per partition. No task sees more than its own range, and a hot order value,
-    or a record with many copies, is spread over several ranges by the tie-break.
+    or a record with many copies, is spread over several ranges by the tie-breaks.
 
     ``replayable`` says that ``df`` reads its rows in the same order each time, as
     a scan with projections, filters and generators does; otherwise it is written
-    out first, for the tie-break to be the same when a lost task runs again. Its
+    out first, for the last tie-break to be the same when a lost task runs again. Its
     rows are then counted too, and no more than ``small_rows`` take the short way.
     """
     columns = df.columns
     named = {name.lower() for name in order_by}
-    order = [*order_by, *[c for c in columns if c.lower() not in named]]
+    rest = [c for c in columns if c.lower() not in named]
+    order = [F.col(name) for name in order_by] + ([row_key(*rest)] if rest else [])
     if not replayable:
         df = settle(df, "unnumbered")
         if df.count() <= small_rows:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +22,8 @@ def end_state(bronze: DataFrame, silver: DataFrame, tags: DataFrame, spec: Spec)
     """Counts that describe a finished load, one row per check.
 
     Violations are the rows not loaded, the silver rows failing a rule, and blank
-    tag names. Rows a comparison cannot see are counted next to them: nulls in a
-    rule's column, and records dropped for want of an attribute.
+    tag names. What a comparison cannot see is counted next to them: nulls in a
+    rule's column, in silver and in bronze, and records without an attribute.
     """
     always = F.lit(True)
     failing = {
@@ -28,12 +31,14 @@ def end_state(bronze: DataFrame, silver: DataFrame, tags: DataFrame, spec: Spec)
     }
     unknown = {f"{rule.name}_null": F.col(rule.column).isNull() for rule in spec.rules}
     record = F.col(spec.record)
+    unclassified = [F.col(f"{spec.record}.{rule.column}").isNull() for rule in spec.rules]
     silver_counts = count_checks(silver, {"silver_rows": always, **failing, **unknown})
     bronze_counts = count_checks(
         bronze,
         {
             "bronze_rows": always,
             "not_loaded": F.col("status") != LOADED,
+            "null_unclassified": record.isNotNull() & reduce(or_, unclassified),
             "missing_attribute": record.isNotNull()
             & F.col(f"{spec.record}.{spec.attribute}").isNull(),
         },

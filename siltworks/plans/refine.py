@@ -46,7 +46,8 @@ def bridge(bronze: DataFrame, spec: Spec) -> DataFrame:
     pairs = explode_column(bronze, f"{spec.record}.{spec.tags}", "tag", [record_id]).select(
         spec.bridge_record_id, F.col(f"tag.{spec.tag_id}").alias(spec.bridge_tag_id)
     )
-    return dense_key(pairs, spec.bridge_key, [spec.bridge_record_id], replayable=True)
+    order = [spec.bridge_record_id, spec.bridge_tag_id]
+    return dense_key(pairs, spec.bridge_key, order, replayable=True)
 
 
 def attribute_dimension(bronze: DataFrame, spec: Spec) -> DataFrame:

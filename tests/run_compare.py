@@ -20,11 +20,7 @@ def main(sf_dir: str, *names: str) -> int:
             continue
         started = time.time()
         try:
-            df = query(spark, sf_dir)
-            if name in sql:
-                problem = differences(df, connection, sql[name])
-            else:
-                problem = None if df.count() else "no rows"
+            problem = differences(query(spark, sf_dir), connection, sql[name])
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:400]}"
         failed += problem is not None

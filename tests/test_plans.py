@@ -1,11 +1,11 @@
 """The shape of physical plans: what is shuffled, broadcast, pushed down and read."""
 
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from siltworks.operators import distinct, joins, status
 from siltworks.plans import refine
 from siltworks.staging import settle, shared_folder, staged_path
@@ -30,15 +30,6 @@ def records(spark):
     return bronze(spark, SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
-def test_no_nested_loops_or_cross_joins(spark, name):
-    if name == "q_inventory":
-        pytest.skip("no join, and its folder is listed on each call")
-    plan = initial_plan(entry.queries()[name](spark, SF_DIR))
-    assert "BroadcastNestedLoopJoin" not in plan
-    assert "CartesianProduct" not in plan
-
-
 def test_dimension_reads_only_tags(records):
     plan = initial_plan(refine.tag_dimension(records, SPEC))
     assert set(re.findall(r"ReadSchema: (\S+)", plan)) == {
@@ -121,6 +112,27 @@ def test_hot_keys_are_split(spark, hot_join, hot_rows):
         assert "isSkew=true" in plan or "skew=true" in plan, name
 
 
+def test_hot_unrepairable_record_is_split(spark, hot_join):
+    """A third of the rows are copies of one record that cannot be repaired."""
+    hot = F.col("id") % 3 == 0
+    rows = settle(
+        spark.range(60_000, numPartitions=8).select(
+            F.struct(
+                F.when(hot, 7).otherwise(F.col("id")).alias("Id"),
+                F.lit(None).cast("double").alias("Budget"),
+                F.lit(1).cast("long").alias("RunTime"),
+                F.lit("en").alias("OriginalLanguage"),
+                F.array(F.struct(F.lit(1).cast("long").alias("id"), F.lit("a").alias("name"))).alias("genres"),
+            ).alias("value"),
+            F.sha1(F.col("id").cast("string")).alias("datasource"),
+            F.lit("new").alias("status"),
+        )
+    )
+    found, plan = final_plan(refine.final_status(rows, SPEC))
+    assert Counter(r.status for r in found) == {"loaded": 20_001, "quarantined": 39_999}
+    assert "skew=true" in plan.lower()
+
+
 def test_copies_collapse_before_the_shuffle(spark, hot_rows):
     plan = initial_plan(distinct.duplicates(hot_rows.select("value"), "value"))
     assert plan.index("partial_count") > plan.index("Exchange hashpartitioning")

@@ -105,7 +105,8 @@ def test_end_state(loaded, spec):
     counts = checks.end_state(loaded["bronze"], loaded["silver"], loaded["tag"], spec)
     assert dict(rows(counts, "check", "rows")) == {
         "silver_rows": 7, "budget_failing": 0, "runtime_failing": 0, "budget_null": 0,
-        "runtime_null": 1, "bronze_rows": 12, "not_loaded": 2, "missing_attribute": 1,
+        "runtime_null": 1, "bronze_rows": 12, "not_loaded": 2, "null_unclassified": 4,
+        "missing_attribute": 1,
         "tag_rows": 2, "blank_tag_name": 0,
     }
     assert rows(checks.violations(counts, spec), "check", "rows") == [("not_loaded", 2)]

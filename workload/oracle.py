@@ -135,6 +135,9 @@ PLAIN = {
             FROM placed
         )
         SELECT CAST(ceil(8 * (place + 1) / cnt) AS INTEGER) - 1 AS chunk, o_orderkey FROM within""",
+    "q_inventory": """
+        SELECT lang, 'txt' AS type, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes
+        FROM documents GROUP BY lang""",
     "q_add_metadata": """
         SELECT 'orders file' AS datasource, 'new' AS status, count(*) AS n, count(*) AS n_dated
         FROM orders""",
@@ -255,6 +258,8 @@ LAYERED = {
         UNION ALL SELECT 'runtime_null', count(*) FROM silver WHERE "RunTime" IS NULL
         UNION ALL SELECT 'bronze_rows', count(*) FROM finished
         UNION ALL SELECT 'not_loaded', count(*) FROM finished WHERE status <> 'loaded'
+        UNION ALL SELECT 'null_unclassified', count(*) FROM finished
+            WHERE "Budget" IS NULL OR "RunTime" IS NULL
         UNION ALL SELECT 'missing_attribute', count(*) FROM finished WHERE "OriginalLanguage" IS NULL
         UNION ALL SELECT 'tag_rows', count(*) FROM (SELECT DISTINCT id, name FROM tag WHERE name <> '')
         UNION ALL SELECT 'blank_tag_name', count(*)
