@@ -24,6 +24,7 @@ from siltworks.session import sized_shuffles
 from siltworks.sources.documents import read_landing
 from siltworks.sources.files import inventory
 from siltworks.sources.tables import ensure_database, publish
+from siltworks.staging import settle
 
 
 def bronze_rows(documents: DataFrame, array: str, spec: Spec, datasource: str) -> DataFrame:
@@ -116,8 +117,11 @@ def final_status(bronze: DataFrame, spec: Spec) -> DataFrame:
     loaded = bronze.filter(
         no_record | rules.loadable(spec.rules, [spec.attribute], fields)
     ).withColumn("status", F.when(no_record, F.col("status")).otherwise(LOADED))
-    stuck = bronze.filter(~no_record).filter(
-        rules.unrepairable(spec.rules, [spec.attribute], fields)
+    # Written out, so that the whole records of bronze are not scanned once to find
+    # the repeated ones and once more to mark them.
+    stuck = settle(
+        bronze.filter(~no_record & rules.unrepairable(spec.rules, [spec.attribute], fields)),
+        "stuck",
     ).withColumn("status", F.lit(QUARANTINED))
     repeated = duplicates(stuck, spec.record)
     return append_all(loaded, apply_status(stuck, repeated, LOADED, on=spec.record))

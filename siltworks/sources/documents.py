@@ -116,5 +116,5 @@ def documents_of(
 
 
 def write_documents(documents: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write each document as one JSON file in a folder of its own."""
-    documents.write.mode(mode).partitionBy("document").json(path)
+    """Write each document as a JSON file of its own."""
+    documents.drop("document").write.mode(mode).option("maxRecordsPerFile", 1).json(path)

@@ -17,7 +17,8 @@ def rows(df):
 
 
 def test_json_permissive_and_corrupt_text(spark, tmp_path):
-    (tmp_path / "a.json").write_text(json.dumps({"movie": [{"Id": 1, "Budget": "much"}, {"Id": 2}]}, indent=2))
+    document = {"movie": [{"Id": 1, "Budget": "much"}, {"Id": 2}]}
+    (tmp_path / "a.json").write_text(json.dumps(document, indent=2))
     (tmp_path / "b.json").write_text('{"movie": [')
     schema = "movie array<struct<Id: bigint, Budget: double>>, _bad string"
     found = documents.read_json(spark, str(tmp_path), schema, corrupt_column="_bad").cache()
@@ -75,6 +76,7 @@ def test_documents_hold_all_rows_in_order(spark, tmp_path):
     packed = documents.documents_of(df, "rows", 10, ["k"])
     path = str(tmp_path / "docs")
     documents.write_documents(packed, path)
+    assert len(list((tmp_path / "docs").glob("part-*.json"))) == 3
     found = documents.read_json(spark, path, packed.select("rows").schema)
     arrays = sorted([r.k for r in d.rows] for d in found.collect())
     assert arrays == [list(range(10)), list(range(10, 20)), list(range(20, 25))]
@@ -170,7 +172,11 @@ def test_inventory(spark, tmp_path):
     (tmp_path / "noext").write_bytes(b"1")
     (tmp_path / "empty").write_bytes(b"")
     found = files.inventory(spark, str(tmp_path))
-    assert rows(found.select("name", "type", "size")) == [("a.jpg", "jpg", 3), ("b.png", "png", 5), ("noext", "", 1)]
+    assert rows(found.select("name", "type", "size")) == [
+        ("a.jpg", "jpg", 3), ("b.png", "png", 5), ("noext", "", 1),
+    ]
+    top = files.inventory(spark, str(tmp_path), "*.*g", recursive=False)
+    assert rows(top.select("name")) == [("a.jpg",)]
     lines = [r.line for r in files.inventory_lines(found).collect()]
     assert sorted(lines)[0] == f"{'a.jpg':<100}{'jpg':<10}  {3:<10}"
     plan = found._jdf.queryExecution().executedPlan().toString()

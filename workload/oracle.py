@@ -131,7 +131,7 @@ PLAIN = {
             SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders
         ),
         within AS (
-            SELECT o_orderkey, pos % 2000 AS place, count(*) OVER (PARTITION BY pos // 2000) AS cnt
+            SELECT o_orderkey, pos % 10000 AS place, count(*) OVER (PARTITION BY pos // 10000) AS cnt
             FROM placed
         )
         SELECT CAST(ceil(8 * (place + 1) / cnt) AS INTEGER) - 1 AS chunk, o_orderkey FROM within""",

@@ -22,7 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 DATABASE = "siltworks_demo"
-ROWS_PER_DOCUMENT = 2000
+ROWS_PER_DOCUMENT = 10_000
 LINE_COLUMNS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
@@ -47,7 +47,7 @@ def _in_database(spark: SparkSession, label: str) -> str:
 
 
 def _order_documents(spark: SparkSession, sf_dir: str) -> tuple[str, StructType]:
-    """Orders as JSON documents of up to 2,000 orders, with the schema to read them."""
+    """Orders as JSON documents of up to 10,000 orders, with the schema to read them."""
     orders = table(spark, sf_dir, "orders")
     path = staged_path(spark, "documents")
     packed = documents.documents_of(
@@ -74,7 +74,7 @@ def json_scan(spark, sf_dir):
 @query
 def json_infer(spark, sf_dir):
     path, _ = _order_documents(spark, sf_dir)
-    found = columns.explode_in_place(documents.read_json(spark, path).select("orders"), "orders")
+    found = columns.explode_in_place(documents.read_json(spark, path), "orders")
     orders = columns.expand_struct(found, "orders", keep=False)
     return columns.replace_column(
         orders, "o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")
