@@ -24,7 +24,7 @@ from siltworks.session import sized_shuffles
 from siltworks.sources.documents import read_landing
 from siltworks.sources.files import inventory
 from siltworks.sources.tables import ensure_database, publish
-from siltworks.staging import settle
+from siltworks.staging import passing, settle
 
 
 def bronze_rows(documents: DataFrame, array: str, spec: Spec, datasource: str) -> DataFrame:
@@ -158,7 +158,8 @@ def refine(
 
     found = inventory(spark, landing, name_glob, recursive=False)
     by_date = ("ingestdate",)
-    with sized_shuffles(spark, found.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]):
+    size = found.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    with sized_shuffles(spark, size), passing(spark):
         bronze = save(bronze_rows(documents, array, spec, datasource), "bronze", by_date)
         save(tag_dimension(bronze, spec), "tag")
         save(bridge(bronze, spec), "bridge")

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: tempfile.TemporaryDirectory | None = None
+_passing: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,7 +32,28 @@ def shared_folder(spark: SparkSession) -> str:
 def staged_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/staged/{application}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/staged/{application}/{label}-{uuid.uuid4().hex}"
+    if _passing:
+        _passing[-1].append(path)
+    return path
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Delete what a block stages when the block ends.
+
+    For blocks that write their results elsewhere and leave no frame that reads a
+    staged table.
+    """
+    paths: list[str] = []
+    _passing.append(paths)
+    try:
+        yield
+    finally:
+        _passing.remove(paths)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def settle(df: DataFrame, label: str = "frame") -> DataFrame:

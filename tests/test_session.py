@@ -1,4 +1,9 @@
+from pathlib import Path
+
+import pytest
+
 from siltworks.session import MOST_PARTITIONS, sized_shuffles
+from siltworks.staging import passing, settle
 
 NAME = "spark.sql.shuffle.partitions"
 
@@ -12,3 +17,17 @@ def test_partitions_grow_with_the_input(spark):
     with sized_shuffles(spark, 5) as partitions:
         assert partitions == int(before)
     assert spark.conf.get(NAME) == before
+
+
+def test_passing_tables_are_deleted(spark):
+    kept = settle(spark.range(3))
+    with passing(spark):
+        gone = settle(spark.range(3))
+        (folder,) = {Path(name.removeprefix("file:")).parent for name in gone.inputFiles()}
+        assert folder.exists()
+    assert not folder.exists()
+    assert kept.count() == 3
+    with pytest.raises(ValueError), passing(spark):
+        failed = settle(spark.range(3)).inputFiles()
+        raise ValueError
+    assert not Path(failed[0].removeprefix("file:")).exists()
