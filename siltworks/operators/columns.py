@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 
 def add_metadata(df: DataFrame, datasource: str, status: str = "new") -> DataFrame:
-    """Add source name, ingest time, load status and ingest date."""
-    return df.select(
-        "*",
-        F.lit(datasource).alias("datasource"),
-        F.current_timestamp().alias("ingesttime"),
-        F.lit(status).alias("status"),
-        F.current_date().alias("ingestdate"),
+    """Add source name, ingest time, load status and ingest date, or replace them."""
+    return df.withColumns(
+        {
+            "datasource": F.lit(datasource),
+            "ingesttime": F.current_timestamp(),
+            "status": F.lit(status),
+            "ingestdate": F.current_date(),
+        }
     )
 
 

@@ -69,6 +69,16 @@ def register_table(
         spark.catalog.recoverPartitions(table)
 
 
+def _same_layout(df: DataFrame, table: str) -> bool:
+    """Whether the table exists, is unpartitioned and has the columns of ``df``."""
+    catalog = df.sparkSession.catalog
+    if not catalog.tableExists(table):
+        return False
+    columns = catalog.listColumns(table)
+    named = [(column.name, column.dataType) for column in columns]
+    return named == df.dtypes and not any(column.isPartition for column in columns)
+
+
 def publish(
     df: DataFrame,
     table: str,
@@ -80,19 +90,20 @@ def publish(
 
     ``df`` may read the table itself: the files it reads stay until the new ones
     are complete, and afterwards for queries that are still running. An
-    unpartitioned table changes over in one catalog operation; a partitioned one is
-    dropped and created again, as catalogs keep a location per partition.
+    unpartitioned table of the same columns changes over in one catalog operation;
+    others are dropped and created again, as catalogs keep a location per partition.
     Returns the path of the snapshot.
     """
     spark = df.sparkSession
+    in_place = not partition_by and _same_layout(df, table)
     path = f"{base.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
     write_table(df, path, mode="errorifexists", fmt=fmt, partition_by=partition_by)
-    if partition_by or not spark.catalog.tableExists(table):
-        register_table(spark, table, path, fmt, partitioned=bool(partition_by))
-    else:
+    if in_place:
         spark.sql(
             "ALTER TABLE IDENTIFIER(:table) SET LOCATION :path",
             args={"table": table, "path": path},
         )
         spark.catalog.refreshTable(table)
+    else:
+        register_table(spark, table, path, fmt, partitioned=bool(partition_by))
     return path

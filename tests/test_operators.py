@@ -72,6 +72,7 @@ def test_columns(spark):
     assert replaced.dtypes[0] == ("id", "string")
     added = columns.add_metadata(df, "source")
     assert added.columns == [*df.columns, "datasource", "ingesttime", "status", "ingestdate"]
+    assert columns.add_metadata(added, "other", "kept").columns == added.columns
     assert added.filter("datasource = 'source' AND status = 'new' AND ingestdate = to_date(ingesttime)").count() == 3
 
 

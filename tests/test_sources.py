@@ -140,6 +140,17 @@ def test_publish_partitioned(spark, tmp_path, database):
     assert rows(tables.read_table(spark, name)) == [(0, 0), (1, 1), (2, 0)]
 
 
+def test_publish_follows_a_change_of_layout(spark, tmp_path, database):
+    name, base = f"{database}.changing", str(tmp_path / "changing")
+    df = spark.range(6).select("id", (F.col("id") % 2).alias("p"))
+    tables.publish(df, name, base, partition_by=["p"])
+    tables.publish(df.filter("id < 2"), name, base)
+    assert rows(tables.read_table(spark, name)) == [(0, 0), (1, 1)]
+    tables.publish(df.select(F.col("id").cast("string").alias("id")), name, base)
+    assert tables.read_table(spark, name).dtypes == [("id", "string")]
+    assert tables.read_table(spark, name).count() == 6
+
+
 def test_register_replaces_and_leaves_data(spark, tmp_path, database):
     for label, n in (("a", 2), ("b", 3)):
         tables.write_table(spark.range(n), str(tmp_path / label))
