@@ -1,73 +1,45 @@
-"""The refinement as a sequence of table rewrites, for comparison in the benchmark.
+"""The refinement as a chain of status updates, each rewriting bronze.
 
-Row-level updates become rewrites of the whole bronze table, each silver write a
-write of its own, and the bridge key a window over all rows. The results are those
-of the one-pass plan.
+Built from the same operators as the one-pass plan, to check that both agree and to
+time them against each other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from siltworks.operators import rules
+from siltworks.operators.columns import expand_struct
+from siltworks.operators.distinct import append_all, duplicates
+from siltworks.operators.filters import split_at
+from siltworks.operators.joins import replace_with_key
+from siltworks.operators.status import LOADED, QUARANTINED, apply_status, quarantined
+from siltworks.plans.refine import attribute_dimension
 from siltworks.staging import settle
-from workload.bronze import MINIMUM_BUDGET
+from workload.bronze import MINIMUM_BUDGET, SPEC
 
 
-def _update(bronze: DataFrame, keys: DataFrame, status: str, test: str = "IN") -> DataFrame:
-    """Rewrite bronze with ``status`` where the record is, or is not, among the keys."""
-    spark = bronze.sparkSession
-    chosen = spark.sql(
-        f"SELECT value FROM {{bronze}} WHERE value {test} (SELECT value FROM {{keys}})",
-        bronze=bronze,
-        keys=keys,
-    ).distinct()
-    marked = bronze.join(chosen.withColumn("hit", F.lit(True)), "value", "left")
-    return settle(
-        marked.select("value", F.when(F.col("hit"), status).otherwise(F.col("status")).alias("status"))
-    )
-
-
-def refresh(spark: SparkSession, bronze: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Bridge, silver and final bronze."""
-    rows = bronze.select("value", "value.*")
-    tags = rows.select("Id", F.explode("genres").alias("genres"))
-    bridge = settle(
-        tags.select(
-            F.row_number().over(Window.orderBy("Id")).alias("moviegenreid"),
-            F.col("Id").alias("movieid"),
-            F.col("genres.id").alias("genreid"),
-        )
-    )
-    languages = settle(
-        rows.select(F.col("OriginalLanguage").alias("language"))
-        .distinct()
-        .select(F.row_number().over(Window.orderBy("language")).alias("languageid"), "language")
-    )
+def refresh(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Silver and final bronze."""
+    languages = settle(attribute_dimension(bronze, SPEC))
 
     def keyed(df: DataFrame) -> DataFrame:
-        joined = df.join(languages, df["OriginalLanguage"] == languages["language"])
-        return joined.withColumn("OriginalLanguage", F.col("languageid")).drop(
-            "languageid", "language", "genres"
+        return replace_with_key(
+            df, SPEC.attribute, languages, SPEC.attribute_name, SPEC.attribute_key, drop=[SPEC.tags]
         )
 
-    clean = keyed(rows.filter(F.col("Budget") >= MINIMUM_BUDGET).filter("RunTime >= 0"))
-    written = [settle(clean.drop("value"))]
-    bronze = _update(bronze, clean, "loaded")
-    bronze = _update(bronze, clean, "quarantined", "NOT IN")
-    dirty = bronze.filter("status = 'quarantined'").select("value", "value.*")
-    mended = dirty.withColumn("RunTime", F.abs("RunTime"))
-    high = keyed(mended.filter(F.col("Budget") >= MINIMUM_BUDGET))
-    low = keyed(
-        mended.filter(F.col("Budget") < MINIMUM_BUDGET).withColumn(
-            "Budget", F.lit(MINIMUM_BUDGET).cast("double")
-        )
-    )
-    written += [settle(high.drop("value")), settle(low.drop("value"))]
-    bronze = _update(bronze, high, "loaded")
-    bronze = _update(bronze, low, "loaded")
-    repeated = bronze.groupBy("value").count().filter("count > 1")
-    bronze = _update(bronze, repeated, "quarantined")
-    silver = settle(written[0].union(written[1]).union(written[2]).distinct())
-    bronze = _update(bronze, repeated, "loaded")
-    return bridge, silver, bronze
+    def update(keys: DataFrame, status: str, negate: bool = False) -> DataFrame:
+        return settle(apply_status(bronze, keys, status, negate=negate))
+
+    fields = expand_struct(bronze, "value")
+    loaded = [keyed(split_at(split_at(fields, "Budget", MINIMUM_BUDGET)[1], "RunTime", 0)[1])]
+    bronze = update(loaded[0], LOADED)
+    bronze = update(loaded[0], QUARANTINED, negate=True)
+    for dirty in split_at(quarantined(bronze), "Budget", MINIMUM_BUDGET):
+        loaded.append(keyed(rules.repair(dirty, SPEC.rules)))
+        bronze = update(loaded[-1], LOADED)
+    repeated = settle(duplicates(bronze, "value"))
+    for status in (QUARANTINED, LOADED):
+        bronze = update(repeated, status)
+    written = [settle(rows.drop("value")) for rows in loaded]
+    return settle(append_all(*written).distinct()), bronze
