@@ -13,6 +13,9 @@ from siltworks.functions.identity import row_key
 from siltworks.operators.joins import is_in
 from siltworks.staging import settle
 
+# As many hashes stay below Spark's default limit for a broadcast.
+MOST_HASHES = 1_000_000
+
 
 def distinct_union(first: DataFrame, *others: DataFrame) -> DataFrame:
     """Set union by column name."""
@@ -26,16 +29,21 @@ def append_all(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
-def duplicates(df: DataFrame, column: str, narrow: bool = False) -> DataFrame:
+def duplicates(
+    df: DataFrame, column: str, narrow: bool = False, most_hashes: int = MOST_HASHES
+) -> DataFrame:
     """Values held by more than one row, with the number of ``copies``; null counts as a value.
 
-    ``narrow`` suits wide values that rarely repeat: a first pass shuffles only
-    hashes, and the values themselves move only where a hash repeats.
+    ``narrow`` suits wide values of which few repeat: a first pass shuffles only
+    hashes, and then just the values whose hash repeats are compared. Where more
+    than ``most_hashes`` repeat, all values are, as it takes one shuffle less.
     """
     if narrow:
         keyed = df.select(row_key(column).alias("_row_key"), column)
-        repeated = keyed.groupBy("_row_key").count().filter("count > 1").select("_row_key")
-        df = is_in(keyed, "_row_key", settle(repeated, "repeated"), distinct_keys=True)
+        counted = keyed.groupBy("_row_key").count().filter("count > 1").select("_row_key")
+        repeated = settle(counted, "repeated")
+        if repeated.count() <= most_hashes:
+            df = is_in(keyed, "_row_key", repeated, distinct_keys=True)
     return df.groupBy(column).agg(F.count("*").alias("copies")).filter("copies > 1")
 
 
