@@ -1,9 +1,10 @@
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
 from siltworks.session import MOST_PARTITIONS, sized_shuffles
-from siltworks.staging import passing, settle
+from siltworks.staging import passing, settle, shared_folder
 
 NAME = "spark.sql.shuffle.partitions"
 
@@ -31,3 +32,17 @@ def test_passing_tables_are_deleted(spark):
         failed = settle(spark.range(3)).inputFiles()
         raise ValueError
     assert not Path(failed[0].removeprefix("file:")).exists()
+
+
+def test_a_cluster_must_name_the_shared_folder():
+    def session(master, conf_folder=None, context_folder=None):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: conf_folder),
+            sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: context_folder),
+        )
+
+    assert shared_folder(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert shared_folder(session("yarn", None, "hdfs:///set")) == "hdfs:///set"
+    assert Path(shared_folder(session("local[2]"))).is_dir()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn"))
