@@ -115,7 +115,7 @@ PLAIN = {
     "q_table_scan": "SELECT * FROM region",
     "q_sql_scan": "SELECT * FROM nation",
     "q_sink_exclude": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",
-    "q_sink_partitioned": "SELECT *, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders",
+    "q_sink_partitioned": "SELECT *, CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month FROM orders",
     "q_register_table": ORDERS,
     "q_append_union": """
         SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal >= 0
@@ -142,7 +142,7 @@ PLAIN = {
         SELECT 'orders file' AS datasource, 'new' AS status, count(*) AS n, count(*) AS n_dated
         FROM orders""",
     "q_abs_repair": "SELECT c_custkey, abs(c_acctbal) AS c_acctbal FROM customer",
-    "q_cast_date": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_date FROM orders",
+    "q_cast_date": "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_date FROM orders",
     "q_format_line": """
         SELECT p_partkey, format('{:<100}{:<10}  {:<10}', p_name, p_brand, p_size) AS line
         FROM part""",

@@ -130,7 +130,7 @@ def sink_partitioned(spark, sf_dir):
         "month", F.trunc("o_orderdate", "month")
     )
     tables.write_table(orders, path, partition_by=["month"], compact=True)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).withColumn("month", F.col("month").cast("string"))
 
 
 @query
@@ -250,7 +250,7 @@ def abs_repair(spark, sf_dir):
 @query
 def cast_date(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.col("o_orderdate").cast("date").alias("o_date")
+        "o_orderkey", F.col("o_orderdate").cast("date").cast("string").alias("o_date")
     )
 
 
