@@ -6,9 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltworks.llm import decontaminate, host_rules, secrets
+from siltworks.llm import (
+    archives,
+    decontaminate,
+    host_rules,
+    language,
+    packing,
+    quality,
+    secrets,
+    simhash,
+)
 from siltworks.llm.frames import table
 
+# The folder of public vocabulary files, a package on driver and executors.
+VOCABULARIES = "/opt/tokenizers"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 REGISTRY: dict[str, Query] = {}
@@ -19,6 +31,12 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.quality(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 @query
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -31,6 +49,30 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.host_rules(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.languages(docs).drop("text", "lang")
+
+
 @query
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents")).drop("secret_spans")
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = f"{VOCABULARIES}/word_bpe_49k.json"
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer)
+
+
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.grouped(docs)
+    return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
+
+
+@query
+def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.archived(table(spark, sf_dir, "pages"))
