@@ -11,6 +11,7 @@ from siltworks.llm import (
     decontaminate,
     host_rules,
     language,
+    language_model,
     packing,
     quality,
     secrets,
@@ -76,3 +77,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.archived(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scored(table(spark, sf_dir, "documents"))
