@@ -16,12 +16,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltworks.llm.frames import binary_texts, remainder
+from siltworks.llm.blobs import block_texts, document_blocks, hash_range, pack, unpack
+from siltworks.llm.frames import remainder
 from siltworks.llm.words import Words, blocks, mix, space_words
 from siltworks.staging import settle
 
@@ -37,21 +37,6 @@ _END, _START = np.uint64(0x8F1BBCDC62C1D6A1), np.uint64(0x5A827999CA4F2E37)
 _BUCKETS, _BINS = 48, 193
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """Bytes of equal place side by side, compressed."""
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
-    return len(values).to_bytes(8, "little") + pa.compress(
-        planes.tobytes(), codec="zstd", asbytes=True
-    )
-
-
-def _unpack(data: bytes, kind) -> np.ndarray:
-    n, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
-    planes = pa.decompress(data[8:], decompressed_size=n * width, codec="zstd", asbytes=True)
-    rows = np.frombuffer(planes, np.uint8).reshape(width, n).T
-    return np.ascontiguousarray(rows).view(kind).reshape(-1)
-
-
 class Tokens:
     """The tokens of a block: word hashes, each document closed by an end."""
 
@@ -75,86 +60,22 @@ class Tokens:
         self.counts = counts
 
 
-def _blocks(docs: DataFrame, key: str, text: str, block_bytes: int) -> DataFrame:
-    """Documents in blocks, their texts compressed; a longer text is a block of its own."""
-    key_type = docs.schema[key].dataType
-    schema = T.StructType(
-        [
-            T.StructField("block", T.LongType()),
-            T.StructField("keys", T.ArrayType(key_type)),
-            T.StructField("held_out", T.ArrayType(T.BooleanType())),
-            T.StructField("lengths", T.ArrayType(T.LongType())),
-            T.StructField("texts", T.BinaryType()),
-        ]
-    )
-
-    def pack(batches):
-        number = TaskContext.get().partitionId() << 32
-        held: list[list] = [[], [], []]
-        size = 0
-
-        def block():
-            nonlocal number, held, size
-            joined = b"".join(held[2])
-            row = [
-                pa.array([number], pa.int64()),
-                pa.array([pa.concat_arrays(held[0])] if held[0] else [[]], list_type),
-                pa.array([held[1]], pa.list_(pa.bool_())),
-                pa.array([[len(t) for t in held[2]]], pa.list_(pa.int64())),
-                pa.array([pa.compress(joined, codec="zstd", asbytes=True)], pa.binary()),
-            ]
-            number, held, size = number + 1, [[], [], []], 0
-            return pa.RecordBatch.from_arrays(row, names=schema.names)
-
-        for batch in batches:
-            keys = batch.column(0)
-            list_type = pa.list_(keys.type)
-            flags, texts = batch.column(1).to_pylist(), binary_texts(batch, "text")
-            for row, (flag, value) in enumerate(zip(flags, texts)):
-                value = value or b""
-                if held[2] and size + len(value) > block_bytes:
-                    yield block()
-                held[0].append(keys.slice(row, 1))
-                held[1].append(flag)
-                held[2].append(value)
-                size += len(value)
-        if held[2]:
-            yield block()
-
-    held_out = remainder(key, HELD_OUT_MODULUS) == HELD_OUT
-    return docs.select(
-        F.col(key).alias("key"), held_out.alias("held_out"), F.col(text).alias("text")
-    ).mapInArrow(pack, schema)
-
-
-def _texts(row: dict) -> list[bytes]:
-    data = pa.decompress(
-        row["texts"], decompressed_size=sum(row["lengths"]), codec="zstd", asbytes=True
-    ) if sum(row["lengths"]) else b""
-    edges = np.append(0, np.cumsum(row["lengths"])).astype(int).tolist()
-    return [data[a:b] for a, b in zip(edges, edges[1:])]
-
-
-def _ranges(hashes: np.ndarray, parts: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-
-
 def _questions(batches, parts: int):
     names = ["part", "block", "family", "hashes", "counts"]
     for batch in batches:
         for row in batch.to_pylist():
-            tokens = Tokens(_texts(row))
+            tokens = Tokens(block_texts(row))
             train = np.repeat(~np.array(row["held_out"], bool), tokens.counts)
             out: list[list] = [[] for _ in names]
             for family, values in enumerate((tokens.words, tokens.bigrams)):
                 hashes, which = np.unique(values, return_inverse=True)
                 counts = np.bincount(which, train, len(hashes)).astype(np.int64)
-                of = _ranges(hashes, parts)
-                cuts = np.searchsorted(of, np.arange(parts + 1, dtype=np.uint64))
+                of = hash_range(hashes, parts)
+                cuts = np.searchsorted(of, np.arange(parts + 1))
                 for part, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
                     if a < b:
                         gaps = np.diff(hashes[a:b], prepend=np.uint64(0))
-                        values_of = (part, row["block"], family, _pack(gaps), _pack(counts[a:b]))
+                        values_of = (part, row["block"], family, pack(gaps), pack(counts[a:b]))
                         for column, value in zip(out, values_of):
                             column.append(value)
             types = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
@@ -174,15 +95,15 @@ def _answers(table: pa.Table) -> pa.Table:
         own = [row for row in rows if row["family"] == family]
         if not own:
             continue
-        asked = [np.cumsum(_unpack(row["hashes"], np.uint64), dtype=np.uint64) for row in own]
-        counts = [_unpack(row["counts"], np.int64) for row in own]
+        asked = [np.cumsum(unpack(row["hashes"], np.uint64), dtype=np.uint64) for row in own]
+        counts = [unpack(row["counts"], np.int64) for row in own]
         hashes, which = np.unique(np.concatenate(asked), return_inverse=True)
         sums = np.zeros(len(hashes), np.int64)
         np.add.at(sums, which, np.concatenate(counts))
         at = 0
         for row, hashes_of in zip(own, asked):
             end = at + len(hashes_of)
-            out.append((row["block"], row["part"], family, _pack(sums[which[at:end]]), 0, 0))
+            out.append((row["block"], row["part"], family, pack(sums[which[at:end]]), 0, 0))
             at = end
         if family == 0:
             out.append((-1, own[0]["part"], 0, b"", int(sums.sum()), int((sums > 0).sum())))
@@ -282,12 +203,12 @@ def _joined(key_type: T.DataType, total: int, known: int):
         for at in range(left.num_rows):
             source = left.slice(at, 1)
             row = source.select(["held_out", "lengths", "texts"]).to_pylist()[0]
-            tokens = Tokens(_texts(row))
+            tokens = Tokens(block_texts(row))
             found = []
             for family, values in enumerate((tokens.words, tokens.bigrams)):
                 hashes, which = np.unique(values, return_inverse=True)
                 totals = [np.zeros(0, np.int64)]
-                totals += [_unpack(data, np.int64) for _, data in sorted(answers[family])]
+                totals += [unpack(data, np.int64) for _, data in sorted(answers[family])]
                 found.append(np.concatenate(totals)[which])
                 if family == 0:
                     documents = int(found[0][tokens.ends[0] - 1])
@@ -306,7 +227,7 @@ def _joined(key_type: T.DataType, total: int, known: int):
                     for x in (tokens.counts, np.add.reduceat((word > 0).astype(np.int64), tokens.starts))
                 ),
                 pa.array([np.add.reduceat(logs, tokens.starts).tolist()], pa.list_(pa.float64())),
-                *(pa.array([_pack(x.astype(np.int64))], pa.binary()) for x in (bigram, word)),
+                *(pa.array([pack(x.astype(np.int64))], pa.binary()) for x in (bigram, word)),
                 pa.array([documents], pa.int64()),
                 pa.array([cell.tolist()], pa.list_(pa.int64())),
                 pa.array([count.tolist()], pa.list_(pa.int64())),
@@ -337,7 +258,10 @@ def scored(
     text in the split. Repeated rows stay and count once each. Without training rows every
     token has probability one.
     """
-    packed = settle(_blocks(docs, key, text, block_bytes), "blocks")
+    held_out = remainder(key, HELD_OUT_MODULUS) == HELD_OUT
+    packed = settle(
+        document_blocks(docs, key, text, block_bytes, held_out=held_out), "blocks"
+    )
     size = packed.agg(
         F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, x: a + x))
     ).first()[0]
@@ -374,7 +298,7 @@ def scored(
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1)
                 data = row.select(["bigrams", "words", "documents", "n_tokens"]).to_pylist()[0]
-                bigram, word = (_unpack(data[n], np.int64) for n in ("bigrams", "words"))
+                bigram, word = (unpack(data[n], np.int64) for n in ("bigrams", "words"))
                 starts = np.cumsum(data["n_tokens"]) - np.array(data["n_tokens"])
                 context = contexts(word, starts, data["documents"])
                 p = interpolated(weights, bigram, context, word, total, known)

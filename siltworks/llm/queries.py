@@ -14,6 +14,7 @@ from siltworks.llm import (
     language_model,
     packing,
     quality,
+    repeats,
     secrets,
     simhash,
 )
@@ -67,6 +68,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer)
 
 
+@query
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -88,6 +88,39 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN bad_hosts ON f.source = bad_hosts.source
 """
 
+ORACLE["op7_repeats"] = """
+WITH d AS (
+    SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+    SELECT k, doc_id, i, substr(h, 2 * i + 1, 200) AS s
+    FROM (SELECT k, doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d WHERE len(h) >= 200)
+), repeated AS (
+    SELECT k, i FROM (
+        SELECT k, i, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, k, i) AS n FROM windows
+    ) WHERE n > 1
+), marked AS (
+    SELECT k, i, lag(i) OVER (PARTITION BY k ORDER BY i) AS before FROM repeated
+), numbered AS (
+    SELECT k, i, sum(CASE WHEN before IS NULL OR i > before + 100 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY k ORDER BY i) AS run
+    FROM marked
+), runs AS (
+    SELECT k, run, min(i) AS start, max(i) + 100 AS stop FROM numbered GROUP BY k, run
+), pieces AS (
+    SELECT k, coalesce(lag(stop) OVER (PARTITION BY k ORDER BY start), 0) AS a, start AS b FROM runs
+    UNION ALL SELECT k, max(stop), NULL FROM runs GROUP BY k
+), kept AS (
+    SELECT k, string_agg(substr(h, 2 * a + 1, coalesce(2 * (b - a), len(h))), '' ORDER BY a) AS h
+    FROM pieces JOIN d USING (k) GROUP BY k
+), sums AS (
+    SELECT k, sum(stop - start) AS n_removed, count(*) AS n_spans FROM runs GROUP BY k
+)
+SELECT doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes,
+    CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN sums USING (k) LEFT JOIN kept USING (k)
+"""
+
 
 def all_sql() -> dict[str, str]:
     return dict(ORACLE)
