@@ -44,7 +44,7 @@ def document_blocks(
     The texts of a block are one compressed value; a longer text is a block of its own. Blocks
     are numbered by the task that made them, so they are told apart only in a written table.
     """
-    key_type = docs.schema[key].dataType
+    key_type, flag_columns = docs.schema[key].dataType, range(1, 1 + len(flags))
     schema = T.StructType(
         [
             T.StructField("block", T.LongType()),
@@ -71,7 +71,7 @@ def document_blocks(
             return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
         for batch in batches:
-            own = list(zip(*(batch.column(i).to_pylist() for i in range(1, 1 + len(flags)))))
+            own = list(zip(*(batch.column(i).to_pylist() for i in flag_columns)))
             for row, value in enumerate(binary_texts(batch, "_text")):
                 value = value or b""
                 if texts and size + len(value) > block_bytes:

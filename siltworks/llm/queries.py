@@ -76,7 +76,7 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = simhash.grouped(docs)
+    found = simhash.grouped(docs, keep=["doc_id"])
     return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
 
 

@@ -10,6 +10,8 @@ given up too, so a dense cluster costs no more than its spanning links.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -274,8 +276,9 @@ def grouped(
     key: str = "doc_id",
     shingle: int = SHINGLE,
     distance: int = DISTANCE,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Documents with ``fingerprint`` (long), ``component_id`` and ``group_print``.
+    """Columns ``keep`` (or all) of the documents with ``fingerprint`` (long), ``component_id`` and ``group_print``.
 
     ``component_id`` is the least key reachable over links, ``group_print`` a value common to
     the group; both replace input columns of those names. Equal fingerprints are one node
@@ -284,7 +287,11 @@ def grouped(
     of null keys has none. Repeated rows stay.
     """
     kept = without(docs, ["fingerprint", "component_id", "group_print"])
-    found = settle(fingerprints(docs.select(*kept), text, "fingerprint", shingle), "fingerprints")
+    if keep is not None:
+        kept = [name for name in kept if name.lower() in {k.lower() for k in keep}]
+    printed = fingerprints(docs, text, "fingerprint", shingle)
+    carried = kept if key in kept else [*kept, key]
+    found = settle(printed.select(*carried, "fingerprint"), "fingerprints")
     prints = settle(
         found.groupBy("fingerprint").agg(F.min(key).alias("_least")), "distinct_prints"
     )
