@@ -17,7 +17,7 @@ from siltworks.llm.queries import VOCABULARIES
 from siltworks.staging import settle
 
 # A prediction less likely than this is no language.
-LEAST_LANGUAGE_SCORE = 0.4
+LEAST_LANGUAGE_SCORE = 0.3
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

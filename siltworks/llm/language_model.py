@@ -147,6 +147,8 @@ def cells(bigram: np.ndarray, context: np.ndarray, word: np.ndarray, total: int)
 
 def learn(cell: np.ndarray, count: np.ndarray, known: int) -> np.ndarray:
     """Weights (after the context, alone, any word) for each bucket, by EM on a histogram."""
+    if not len(cell):
+        return np.tile([0.0, 0.0, 1.0], (_BUCKETS, 1))
     bucket, rest = np.divmod(cell, _BINS * _BINS)
     bins = np.divmod(rest, _BINS)
     parts = np.stack(
