@@ -13,9 +13,6 @@ from siltworks.functions.identity import row_key
 from siltworks.operators.joins import is_in
 from siltworks.staging import settle
 
-# As many hashes stay below Spark's default limit for a broadcast.
-MOST_HASHES = 1_000_000
-
 
 def distinct_union(first: DataFrame, *others: DataFrame) -> DataFrame:
     """Set union by column name."""
@@ -29,22 +26,34 @@ def append_all(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
-def duplicates(
-    df: DataFrame, column: str, narrow: bool = False, most_hashes: int = MOST_HASHES
-) -> DataFrame:
+def _by_hash(df: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with the hash of some columns, and the written hashes that more than one row has."""
+    keyed = df.withColumn("_row_key", row_key(*columns))
+    counted = keyed.groupBy("_row_key").count().filter("count > 1").select("_row_key")
+    return keyed, settle(counted, "repeated", plain=True)
+
+
+def duplicates(df: DataFrame, column: str) -> DataFrame:
     """Values held by more than one row, with the number of ``copies``; null counts as a value.
 
-    ``narrow`` suits wide values of which few repeat: a first pass shuffles only
-    hashes, and then just the values whose hash repeats are compared. Where more
-    than ``most_hashes`` repeat, all values are, as it takes one shuffle less.
+    A first pass shuffles only hashes; then just the values whose hash repeats are
+    compared, so that a wide value that is unique is never shuffled for itself.
+    """
+    keyed, repeated = _by_hash(df.select(column), column)
+    some = is_in(keyed, "_row_key", repeated, distinct_keys=True)
+    return some.groupBy(column).agg(F.count("*").alias("copies")).filter("copies > 1")
+
+
+def distinct_records(df: DataFrame) -> DataFrame:
+    """Distinct rows, for wide rows of which few repeat.
+
+    Rows whose hash is unique pass; the others are compared. ``df`` is read twice, so it
+    should be a written table with projections, filters and small joins at most.
     """
-    if narrow:
-        keyed = df.select(row_key(column).alias("_row_key"), column)
-        counted = keyed.groupBy("_row_key").count().filter("count > 1").select("_row_key")
-        repeated = settle(counted, "repeated")
-        if repeated.count() <= most_hashes:
-            df = is_in(keyed, "_row_key", repeated, distinct_keys=True)
-    return df.groupBy(column).agg(F.count("*").alias("copies")).filter("copies > 1")
+    keyed, repeated = _by_hash(df, *df.columns)
+    single = keyed.join(repeated, "_row_key", "left_anti").drop("_row_key")
+    some = is_in(keyed, "_row_key", repeated, distinct_keys=True).drop("_row_key")
+    return single.unionByName(some.distinct())
 
 
 def singletons(df: DataFrame, column: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Key replacement and membership joins.
 
-The build side of each join is pre-aggregated to one row per key and written out
-first, unless the caller passes a table already. Catalyst then knows its exact
+The build side of each join is pre-aggregated to one row per key and written plainly
+first, unless the caller passes a table already. Catalyst then knows its
 size: small, it is broadcast and the wide side is not shuffled; beyond
 ``spark.sql.autoBroadcastJoinThreshold`` the join is sort-merge, and adaptive
 execution splits the partitions that hot keys of the wide side fill.
@@ -18,7 +18,7 @@ from siltworks.staging import settle
 
 
 def _key_set(keys: DataFrame, column: str) -> DataFrame:
-    return settle(keys.select(F.col(column).alias("_key")).distinct(), "keys")
+    return settle(keys.select(F.col(column).alias("_key")).distinct(), "keys", plain=True)
 
 
 def is_in(

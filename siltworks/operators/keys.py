@@ -14,9 +14,6 @@ from siltworks.staging import settle
 # monotonically_increasing_id() holds the partition above this many row bits.
 _ROW_BITS = 33
 
-# Up to this many rows are numbered by one task.
-SMALL_ROWS = 10_000
-
 
 def placed_rows(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """Rows written in ordered ranges, with their ``_slice`` and ``_position`` within it.
@@ -46,7 +43,6 @@ def dense_key(
     key: str,
     order_by: Sequence[str],
     replayable: bool = False,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Number all rows 1..n in ascending order, nulls first, as a leading long column.
 
@@ -60,8 +56,7 @@ def dense_key(
 
     ``replayable`` says that ``df`` reads its rows in the same order each time, as
     a scan with projections, filters and generators does; otherwise it is written
-    out first, for the last tie-break to be the same when a lost task runs again. Its
-    rows are then counted too, and no more than ``small_rows`` take the short way.
+    out first, for the last tie-break to be the same when a lost task runs again.
     """
     columns = df.columns
     named = {name.lower() for name in order_by}
@@ -69,9 +64,6 @@ def dense_key(
     order = [F.col(name) for name in order_by] + ([row_key(*rest)] if rest else [])
     if not replayable:
         df = settle(df, "unnumbered")
-        if df.count() <= small_rows:
-            number = F.row_number().over(Window.orderBy(*order)).cast("long")
-            return df.select(number.alias(key), *columns)
     placed = placed_rows(df, order)
     counts = placed.groupBy("_slice").agg(F.count("*").alias("_rows"))
     # One row per partition of the sort above, so this order fits one task and

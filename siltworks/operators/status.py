@@ -31,6 +31,7 @@ def apply_status(
     members = settle(
         keys.select(F.col(on).alias("_member")).distinct().withColumn("_key", row_key("_member")),
         "members",
+        plain=True,
     )
     keyed = df.withColumn("_row_key", row_key(on))
     known = members.filter(F.col("_member").isNotNull()).withColumn("_matched", F.lit(True))
@@ -68,6 +69,7 @@ def merge_status(df: DataFrame, updates: DataFrame, on: str) -> DataFrame:
         .groupBy(F.col(on).alias("_key"))
         .agg(F.min(wrapped).alias("_low"), F.max(wrapped).alias("_high")),
         "updates",
+        plain=True,
     )
     disagree = ~F.col("_low").eqNullSafe(F.col("_high"))
     return (

@@ -18,12 +18,19 @@ def count_checks(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return counted.unpivot([], list(checks), "check", "rows")
 
 
-def end_state(bronze: DataFrame, silver: DataFrame, tags: DataFrame, spec: Spec) -> DataFrame:
+def end_state(
+    bronze: DataFrame,
+    silver: DataFrame,
+    tags: DataFrame,
+    spec: Spec,
+    unreadable: DataFrame | None = None,
+) -> DataFrame:
     """Counts that describe a finished load, one row per check.
 
     Violations are the rows not loaded, the silver rows failing a rule, and blank
     tag names. What a comparison cannot see is counted next to them: nulls in a
-    rule's column, in silver and in bronze, and records without an attribute.
+    rule's column, in silver and in bronze, records without an attribute, and, where the
+    load kept them, documents that could not be read.
     """
     always = F.lit(True)
     failing = {
@@ -46,10 +53,13 @@ def end_state(bronze: DataFrame, silver: DataFrame, tags: DataFrame, spec: Spec)
     tag_counts = count_checks(
         tags, {"tag_rows": always, "blank_tag_name": F.col(spec.tag_name) == ""}
     )
-    return silver_counts.unionByName(bronze_counts).unionByName(tag_counts)
+    counts = silver_counts.unionByName(bronze_counts).unionByName(tag_counts)
+    if unreadable is not None:
+        counts = counts.unionByName(count_checks(unreadable, {"unreadable_documents": always}))
+    return counts
 
 
 def violations(counts: DataFrame, spec: Spec) -> DataFrame:
     """The checks of :func:`end_state` that a finished load must have at zero, and has not."""
-    must_be_zero = ["not_loaded", "blank_tag_name", *[f"{rule.name}_failing" for rule in spec.rules]]
+    must_be_zero = ["not_loaded", "blank_tag_name", "unreadable_documents", *[f"{rule.name}_failing" for rule in spec.rules]]
     return counts.filter(F.col("check").isin(must_be_zero) & (F.col("rows") > 0))

@@ -10,17 +10,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from siltworks.operators import rules
 from siltworks.operators.columns import add_metadata, expand_struct, explode_column
-from siltworks.operators.distinct import append_all, duplicates
+from siltworks.operators.distinct import append_all, distinct_records, duplicates
 from siltworks.operators.filters import non_blank
 from siltworks.operators.joins import replace_with_key
 from siltworks.operators.keys import dense_key
 from siltworks.operators.status import LOADED, QUARANTINED, apply_status
 from siltworks.plans.spec import Spec
-from siltworks.session import sized_shuffles
+from siltworks.session import sized_session
 from siltworks.sources.documents import read_landing
 from siltworks.sources.files import inventory
 from siltworks.sources.tables import ensure_database, publish
@@ -102,7 +102,7 @@ def loadable(bronze: DataFrame, attributes: DataFrame, spec: Spec) -> DataFrame:
 
 def silver(bronze: DataFrame, attributes: DataFrame, spec: Spec) -> DataFrame:
     """Distinct loadable records. Rows that differ only in tags, or before repair, become one."""
-    return loadable(bronze, attributes, spec).distinct()
+    return distinct_records(loadable(bronze, attributes, spec))
 
 
 def final_status(bronze: DataFrame, spec: Spec) -> DataFrame:
@@ -127,6 +127,19 @@ def final_status(bronze: DataFrame, spec: Spec) -> DataFrame:
     return append_all(loaded, apply_status(stuck, repeated, LOADED, on=spec.record))
 
 
+def unreadable(documents: DataFrame, array: str, corrupt_column: str) -> DataFrame:
+    """Documents that gave no array at all: their file and, if it could not be parsed, their text."""
+    return documents.filter(F.col(array).isNull()).select(
+        F.col("_metadata.file_path").alias("path"), F.col(corrupt_column).alias("text")
+    )
+
+
+def _with_text(schema: StructType | str, column: str) -> StructType | str:
+    if isinstance(schema, str):
+        return f"{schema.rstrip()}, `{column}` string"
+    return StructType([*schema.fields, StructField(column, StringType())])
+
+
 def refine(
     spark: SparkSession,
     landing: str,
@@ -136,34 +149,47 @@ def refine(
     schema: StructType | str,
     array: str,
     datasource: str,
-    name_glob: str = "movie*",
+    name_glob: str = "*",
     multi_line: bool = True,
     fmt: str = "parquet",
+    mode: str = "PERMISSIVE",
+    corrupt_column: str = "_unparsed",
+    keep_snapshots: int = 2,
+    expansion: float = 1.0,
 ) -> dict[str, str]:
     """Load a landing folder into a database of bronze and silver tables.
 
-    A full refresh: earlier snapshots below ``root`` are replaced, not extended.
-    Returns the qualified table names by role. Bronze is written as it arrives and
-    published once more with the final status; every silver table is written once.
+    A full refresh: the tables are replaced, not extended, and the last ``keep_snapshots``
+    of each stay on storage. Returns the qualified table names by role. Bronze as it
+    arrives is staged; every table is published once. Documents without the array, such as
+    those that cannot be parsed, are in the table ``unreadable``; with ``mode="FAILFAST"``
+    they fail the load. ``expansion`` is what compressed documents expand to.
     """
     # Dropping a database clears its own folder, so that holds no table.
     ensure_database(spark, database, f"{root.rstrip('/')}/database")
     tables = {role: f"{database}.{name}" for role, name in spec.tables.items()}
     paths = {role: f"{root.rstrip('/')}/{name}" for role, name in spec.tables.items()}
-    documents = read_landing(spark, landing, schema, name_glob, multi_line=multi_line)
+    found = inventory(spark, landing, name_glob, recursive=False)
+    size = found.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    own = sized_session(spark, int(size * expansion))
+    text = corrupt_column if mode.upper() == "PERMISSIVE" else None
+    wanted = _with_text(schema, corrupt_column) if text else schema
+    documents = read_landing(
+        own, landing, wanted, name_glob, multi_line=multi_line, mode=mode, corrupt_column=text
+    )
+    if not text:
+        documents = documents.withColumn(corrupt_column, F.lit(None).cast("string"))
 
     def save(df: DataFrame, role: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        publish(df, tables[role], paths[role], fmt, partition_by)
-        return spark.read.table(tables[role])
+        publish(df, tables[role], paths[role], fmt, partition_by, keep_snapshots)
+        return own.read.table(tables[role])
 
-    found = inventory(spark, landing, name_glob, recursive=False)
-    by_date = ("ingestdate",)
-    size = found.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    with sized_shuffles(spark, size), passing(spark):
-        bronze = save(bronze_rows(documents, array, spec, datasource), "bronze", by_date)
+    with passing(own):
+        bronze = settle(bronze_rows(documents, array, spec, datasource), "bronze")
+        save(unreadable(documents, array, corrupt_column), "unreadable")
         save(tag_dimension(bronze, spec), "tag")
         save(bridge(bronze, spec), "bridge")
         attributes = save(attribute_dimension(bronze, spec), "attribute")
         save(silver(bronze, attributes, spec), "silver")
-        save(final_status(bronze, spec), "bronze", by_date)
+        save(final_status(bronze, spec), "bronze", ("ingestdate",))
     return tables

@@ -38,6 +38,7 @@ class Spec:
             "bridge": "record_tag_silver",
             "attribute": "attribute_silver",
             "silver": "record_silver",
+            "unreadable": "unreadable_documents",
         }
     )
 
@@ -73,7 +74,9 @@ MOVIE_TABLES = {
     "bridge": "movie_genre_silver",
     "attribute": "language_silver",
     "silver": "movie_silver",
+    "unreadable": "movie_unreadable",
 }
+MOVIE_FILES = "movie*"
 PEOPLE_SCHEMA = "first string, last string, email string, phone string, address string"
 PEOPLE_HEADER = ("FirstName", "LastName", "Email", "Phone", "Address")
 

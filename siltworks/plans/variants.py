@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.operators.columns import add_metadata
@@ -12,8 +13,8 @@ from siltworks.operators.distinct import singletons
 from siltworks.operators.filters import where_all
 from siltworks.operators.joins import join_using
 from siltworks.operators.status import LOADED, NEW, QUARANTINED
-from siltworks.sources.tables import register_table, write_table
-from siltworks.staging import settle
+from siltworks.sources.tables import ensure_database, publish
+from siltworks.staging import passing, settle
 
 
 def single_occurrence(
@@ -47,11 +48,46 @@ def entity_bronze(entity: DataFrame, datasource: str) -> DataFrame:
     return add_metadata(entity, datasource, NEW)
 
 
-def save_entity(df: DataFrame, table: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """Write and register an entity's bronze table by ingest date, and read it back."""
-    write_table(df, path, mode="append", fmt=fmt, partition_by=["ingestdate"])
-    register_table(df.sparkSession, table, path, fmt, partitioned=True)
-    return df.sparkSession.read.table(table)
+@dataclass(frozen=True)
+class Entity:
+    """Rows of an entity, what of them is accepted and rejected, and its silver columns."""
+
+    rows: DataFrame
+    silver: Sequence[Column | str]
+    accepted: Column | None = None
+    rejected: Column | None = None
+
+
+def refine_entities(
+    spark: SparkSession,
+    entities: dict[str, Entity],
+    root: str,
+    database: str,
+    datasource: str,
+    fmt: str = "parquet",
+    keep_snapshots: int = 2,
+) -> dict[str, str]:
+    """Publish ``<entity>_bronze`` with its final status, and ``<entity>_silver``.
+
+    The rows of an entity are staged once with their metadata. Silver are the distinct
+    projections of the loaded rows. Returns the qualified table names.
+    """
+    ensure_database(spark, database, f"{root.rstrip('/')}/database")
+    tables = {}
+
+    def save(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> None:
+        tables[name] = f"{database}.{name}"
+        base = f"{root.rstrip('/')}/{name}"
+        publish(df, tables[name], base, fmt, partition_by, keep_snapshots)
+
+    with passing(spark):
+        for name, entity in entities.items():
+            rows = settle(entity_bronze(entity.rows, datasource), name)
+            marked = entity_status(rows, entity.accepted, entity.rejected)
+            save(marked, f"{name}_bronze", ("ingestdate",))
+            loaded = marked.filter(F.col("status") == LOADED)
+            save(loaded.select(*entity.silver).distinct(), f"{name}_silver")
+    return tables
 
 
 def entity_status(

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+import re
+import tempfile
 
 from pyspark.sql import SparkSession
 
 # The joins here carry no broadcast hints on data-sized inputs: Catalyst picks a
-# broadcast from exact file sizes, and adaptive execution splits hot keys of the
+# broadcast from the sizes of plainly written files, and adaptive execution splits hot keys of the
 # joins that stay sort-merge.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -30,30 +30,43 @@ def local_session(cores: int | str = 8, name: str = "siltworks", **extra: str) -
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return with_shared_folder(builder.getOrCreate())
+
+
+_own_folders: list[tempfile.TemporaryDirectory] = []
+
+
+def with_shared_folder(spark: SparkSession) -> SparkSession:
+    """Give a session on one machine a folder for staged tables, where it names none.
+
+    Driver and tasks are one process there. A cluster's sessions are left as they are.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        _own_folders.append(tempfile.TemporaryDirectory(prefix="siltworks-"))
+        context.setCheckpointDir(_own_folders[-1].name)
+    return spark
 
 
 BYTES_PER_TASK = 128 << 20
-MOST_PARTITIONS = 50_000
 
 
-@contextmanager
-def sized_shuffles(
+def sized_session(
     spark: SparkSession, input_bytes: int, bytes_per_task: int = BYTES_PER_TASK
-) -> Iterator[int]:
-    """Run the actions of a block with enough shuffle partitions for their input.
+) -> SparkSession:
+    """A session with enough shuffle partitions for an input; the given one stays as it is.
 
     Adaptive execution merges partitions that turn out small but cannot make more of
     them, so a session's default is too few for a large input. The number never falls
-    below that default, nor rises beyond what a driver can keep track of; partitions
-    larger than a task's memory spill.
+    below that default. ``input_bytes`` is the size of the values: multiply the size of
+    compressed files by what they expand to. The new session has the settings and the
+    catalog of the given one; its current database and temporary views are its own.
     """
     name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    wanted = min(-(-input_bytes // bytes_per_task), MOST_PARTITIONS)
-    partitions = max(wanted, int(before))
-    spark.conf.set(name, str(partitions))
-    try:
-        yield partitions
-    finally:
-        spark.conf.set(name, before)
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set(name, str(max(-(-input_bytes // bytes_per_task), int(spark.conf.get(name)))))
+    return own

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltworks.operators.keys import dense_key
+from siltworks.sources.files import directly_in
 
 
 def read_json(
@@ -19,6 +20,7 @@ def read_json(
     corrupt_column: str | None = None,
     multi_line: bool = True,
     name_glob: str | None = None,
+    recursive: bool = False,
 ) -> DataFrame:
     """Scan JSON with the given schema, or an inferred one.
 
@@ -31,6 +33,8 @@ def read_json(
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
@@ -40,11 +44,16 @@ def read_landing(
     spark: SparkSession,
     path: str,
     schema: StructType | str | None = None,
-    name_glob: str = "movie*",
+    name_glob: str = "*",
     **options,
 ) -> DataFrame:
-    """Scan the files directly in a landing folder whose names match, without copying them."""
-    return read_json(spark, path, schema, name_glob=name_glob, **options)
+    """Scan the files directly in a landing folder whose names match, without copying them.
+
+    Folders below it are passed over, also those named like partitions. A schema that is
+    inferred takes matching files below into account.
+    """
+    found = read_json(spark, path, schema, name_glob=name_glob, recursive=True, **options)
+    return found.filter(directly_in(path, F.col("_metadata.file_path")))
 
 
 def chunk_of(position: Column, total: Column, chunks: int) -> Column:
@@ -62,18 +71,21 @@ def chunked(
     order_by: Sequence[str],
     overlap: bool = False,
     replayable: bool = False,
+    position: str | None = None,
 ) -> DataFrame:
     """Add a leading ``chunk`` number 0..chunks-1 to the rows in the given order.
 
     The chunks are disjoint. With ``overlap``, chunk 0 is the first slice and each
     later chunk *k* runs from slice *k* to the end, so that rows of slice *k* come
     *k* times: a way to make inputs full of copies. For ``replayable`` see
-    :func:`~siltworks.operators.keys.dense_key`.
+    :func:`~siltworks.operators.keys.dense_key`. ``position`` names a last column that
+    keeps the row's place in the order, from 1.
     """
     numbered = dense_key(df, "_position", order_by, replayable)
     total = numbered.agg(F.count("*")).scalar()
+    kept = [F.col("_position").alias(position)] if position else []
     placed = numbered.select(
-        chunk_of(F.col("_position"), total, chunks).alias("chunk"), *df.columns
+        chunk_of(F.col("_position"), total, chunks).alias("chunk"), *df.columns, *kept
     )
     if not overlap:
         return placed
@@ -115,6 +127,37 @@ def documents_of(
     )
 
 
+def split_landing(
+    df: DataFrame,
+    array: str,
+    chunks: int,
+    order_by: Sequence[str],
+    path: str,
+    rows_per_document: int = 10_000,
+    overlap: bool = False,
+    replayable: bool = False,
+    mode: str = "errorifexists",
+) -> None:
+    """Split rows into chunks and write them as documents that a landing reader takes.
+
+    Every line is a document ``{"chunk": k, array: [...]}`` of at most ``rows_per_document``
+    rows, in files directly below ``path``; a chunk is as many documents as it needs.
+    """
+    placed = chunked(df, chunks, order_by, overlap, replayable, position="_position")
+    number = F.call_function("div", F.col("_position") - 1, F.lit(rows_per_document))
+    packed = (
+        placed.withColumn("document", number)
+        .groupBy("chunk", "document")
+        .agg(
+            F.sort_array(
+                F.collect_list(F.struct("_position", F.struct(*df.columns).alias("_row")))
+            ).alias("_items")
+        )
+        .select("chunk", F.col("_items._row").alias(array))
+    )
+    packed.write.mode(mode).json(path)
+
+
 def write_documents(documents: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write each document as a JSON file of its own."""
     documents.drop("document").write.mode(mode).option("maxRecordsPerFile", 1).json(path)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql.types import StructType
+
+from siltworks.staging import delete_folder
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
@@ -58,21 +62,44 @@ def register_table(
     path: str,
     fmt: str = "parquet",
     partitioned: bool = False,
+    schema: StructType | None = None,
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Point a catalog name at existing files, replacing an earlier table of that name.
 
-    Partitions of a ``partitioned`` layout are looked up and registered.
+    Partitions of a ``partitioned`` layout, or one with ``partition_by`` columns, are looked
+    up and registered. With a ``schema`` no file is read for it, and there may be none.
     """
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:table)", args={"table": table})
-    spark.catalog.createTable(table, path=path, source=fmt)
-    if partitioned:
+    if schema is None:
+        spark.catalog.createTable(table, path=path, source=fmt)
+    else:
+        names = ", ".join(f"`{name.replace('`', '``')}`" for name in partition_by)
+        clause = f" PARTITIONED BY ({names})" if names else ""
+        spark.sql(
+            f"CREATE TABLE IDENTIFIER(:table) ({schema.toDDL()}) USING {fmt}{clause} LOCATION :path",
+            args={"table": table, "path": path},
+        )
+    if partitioned or partition_by:
         spark.catalog.recoverPartitions(table)
 
 
-def _same_layout(df: DataFrame, table: str) -> bool:
-    """Whether the table exists, is unpartitioned and has the columns of ``df``."""
-    catalog = df.sparkSession.catalog
-    if not catalog.tableExists(table):
+def name_frame(df: DataFrame, name: str) -> None:
+    """Give a frame a name for SQL of its session, replacing an earlier one."""
+    df.createOrReplaceTempView(name)
+
+
+def _provider(spark: SparkSession, table: str) -> str:
+    rows = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:table)", args={"table": table})
+    found = rows.filter("col_name = 'Provider'").first()
+    return found["data_type"] if found else ""
+
+
+def _same_layout(df: DataFrame, table: str, fmt: str) -> bool:
+    """Whether the table exists, is unpartitioned and has the format and columns of ``df``."""
+    spark = df.sparkSession
+    catalog = spark.catalog
+    if not catalog.tableExists(table) or _provider(spark, table).lower() != fmt.lower():
         return False
     columns = catalog.listColumns(table)
     named = [(column.name, column.dataType) for column in columns]
@@ -85,18 +112,20 @@ def publish(
     base: str,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    keep: int | None = None,
 ) -> str:
     """Write ``df`` as a new snapshot below ``base`` and make it the table's content.
 
     ``df`` may read the table itself: the files it reads stay until the new ones
     are complete, and afterwards for queries that are still running. An
-    unpartitioned table of the same columns changes over in one catalog operation;
-    others are dropped and created again, as catalogs keep a location per partition.
-    Returns the path of the snapshot.
+    unpartitioned table of the same columns and format changes over in one catalog
+    operation; others are dropped and created again, as catalogs keep a location per
+    partition. Of all snapshots the last ``keep`` stay, or all without it. Returns the
+    path of the snapshot.
     """
     spark = df.sparkSession
-    in_place = not partition_by and _same_layout(df, table)
-    path = f"{base.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
+    in_place = not partition_by and _same_layout(df, table, fmt)
+    path = f"{base.rstrip('/')}/snapshot-{time.time_ns():020d}-{uuid.uuid4().hex}"
     write_table(df, path, mode="errorifexists", fmt=fmt, partition_by=partition_by)
     if in_place:
         spark.sql(
@@ -105,5 +134,25 @@ def publish(
         )
         spark.catalog.refreshTable(table)
     else:
-        register_table(spark, table, path, fmt, partitioned=bool(partition_by))
+        register_table(spark, table, path, fmt, schema=df.schema, partition_by=partition_by)
+    if keep is not None:
+        expire_snapshots(spark, base, keep)
     return path
+
+
+def expire_snapshots(spark: SparkSession, base: str, keep: int) -> list[str]:
+    """Delete all but the last ``keep`` snapshots below ``base``; the last one always stays.
+
+    Queries that still read an older one fail, so keep as many as run at a time.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(
+        status.getPath().getName()
+        for status in system.listStatus(folder)
+        if status.getPath().getName().startswith("snapshot-")
+    )
+    gone = names[: -max(keep, 1)]
+    for name in gone:
+        delete_folder(spark, f"{base.rstrip('/')}/{name}")
+    return gone

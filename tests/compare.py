@@ -38,6 +38,7 @@ def row_counts(names, rows) -> Counter:
 # Spark and SQL names of the types that results may have.
 SAME_TYPE = {
     "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
     "int": "INTEGER",
     "string": "VARCHAR",
     "double": "DOUBLE",

@@ -25,11 +25,11 @@ def check_dense(found, values):
         st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.one_of(st.none(), st.sampled_from("abc"))),
         max_size=40,
     ),
-    st.sampled_from([0, 100]),
+    st.booleans(),
 )
-def test_numbers_follow_the_order(spark, values, small_rows):
-    df = spark.createDataFrame(values, "a int, b string").repartition(3)
-    check_dense(numbered(dense_key(df, "id", ["a", "b"], small_rows=small_rows), "id"), values)
+def test_numbers_follow_the_order(spark, values, replayable):
+    df = settle(spark.createDataFrame(values, "a int, b string").repartition(3))
+    check_dense(numbered(dense_key(df, "id", ["a", "b"], replayable=replayable), "id"), values)
 
 
 @pytest.mark.parametrize("replayable", [False, True])
@@ -44,7 +44,7 @@ def test_hot_value_and_hot_copies_are_spread(spark, settings, replayable):
             F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("b"),
         )
     )
-    result = dense_key(df, "id", ["a"], replayable=replayable, small_rows=0)
+    result = dense_key(df, "id", ["a"], replayable=replayable)
     stats = result.agg(F.count_distinct("id"), F.min("id"), F.max("id"), F.count("*")).first()
     assert tuple(stats) == (n, 1, n, n)
     following = F.expr("y.id = x.id + 1 AND y.a < x.a")
@@ -56,20 +56,17 @@ def test_hot_value_and_hot_copies_are_spread(spark, settings, replayable):
 
 def test_ids_repeat(spark):
     values = [(i % 4, i) for i in range(500)]
-    first = dense_key(spark.createDataFrame(values, "a int, b int"), "id", ["a"], small_rows=0)
+    first = dense_key(spark.createDataFrame(values, "a int, b int"), "id", ["a"])
     second = dense_key(
-        spark.createDataFrame(values[::-1], "a int, b int").repartition(7), "id", ["a"], small_rows=0
+        spark.createDataFrame(values[::-1], "a int, b int").repartition(7), "id", ["a"]
     )
     assert numbered(first, "id") == numbered(second, "id")
 
 
-def test_short_way_has_no_more_than_the_small_rows(spark):
-    df = spark.range(50).select(F.col("id").alias("a"))
-    short = dense_key(df, "id", ["a"], small_rows=50)
-    long = dense_key(df, "id", ["a"], small_rows=49)
-    assert numbered(short, "id") == numbered(long, "id")
-    plan = long._jdf.queryExecution().executedPlan().toString()
-    assert "row_number" not in plan
+def test_no_task_numbers_all_rows(spark):
+    keyed = dense_key(spark.range(50).select(F.col("id").alias("a")), "id", ["a"])
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan and keyed.count() == 50
 
 
 def test_sparse_key_is_unique(spark):

@@ -83,8 +83,6 @@ def test_duplicates_and_singletons(spark, values):
     counts = Counter(values)
     expected = sorted([(v, n) for v, n in counts.items() if n > 1], key=repr)
     assert rows(distinct.duplicates(df, "x")) == expected
-    assert rows(distinct.duplicates(df, "x", narrow=True)) == expected
-    assert rows(distinct.duplicates(df, "x", narrow=True, most_hashes=0)) == expected
     single = {(v, 1) for v, n in counts.items() if n == 1 and v is not None}
     if None in counts:
         single.add((None, 0))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from siltworks.operators import distinct, joins, status
 from siltworks.plans import refine
-from siltworks.staging import settle, shared_folder, staged_path
+from siltworks.staging import settle
 from workload.bronze import SPEC, bronze, table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -142,14 +142,32 @@ def test_copies_collapse_before_the_shuffle(spark, hot_rows):
 
 def test_narrow_duplicates_shuffle_hashes_only(spark):
     documents = table(spark, SF_DIR, "documents")
-    narrow = distinct.duplicates(documents, "text", narrow=True)
-    plan = initial_plan(narrow)
+    plan = initial_plan(distinct.duplicates(documents, "text"))
     assert "BroadcastHashJoin [_row_key" in plan
 
 
-def test_staging_stays_in_the_shared_folder(spark):
-    folder = shared_folder(spark)
-    assert staged_path(spark, "x").startswith(folder + "/")
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        assert folder == configured.rstrip("/")
+def test_unique_records_are_not_shuffled(spark, records):
+    """Only rows whose hash repeats reach the exchange of a distinct."""
+    rows, plan = final_plan(distinct.distinct_records(records.select("value")))
+    assert len(rows) == records.select("value").distinct().count() == 1500
+    single, some = plan.split("Union")[1].split("HashAggregate", 1)
+    assert "LeftAnti" in single and "Exchange hashpartitioning" not in single
+    assert "LeftSemi" in some and "Exchange hashpartitioning" in some
+
+
+def test_hot_record_is_spread(spark, hot_join, hot_rows):
+    rows, _ = final_plan(distinct.distinct_records(hot_rows.select("value")))
+    assert len(rows) == 40_000 == len(set(rows))
+
+
+def test_compressible_members_are_not_broadcast(spark, settings):
+    """Membership sets are measured by their values, not by their compressed files."""
+    settings(spark__sql__autoBroadcastJoinThreshold="1MB")
+    records = settle(
+        spark.range(300).selectExpr(
+            "named_struct('id', id, 'text', repeat('x', 20000)) AS value", "'new' AS status"
+        )
+    )
+    marked = status.apply_status(records, records.select("value"), "loaded")
+    assert "SortMergeJoin" in initial_plan(marked) and "BroadcastHashJoin" not in initial_plan(marked)
+    assert marked.filter("status = 'loaded'").count() == 300

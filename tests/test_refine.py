@@ -1,13 +1,17 @@
 """The whole refinement: twelve hand-made edge cases, and known counts of derived records."""
 
 import json
+import threading
+from pathlib import Path
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from siltworks.operators.distinct import duplicates
 from siltworks.plans import checks, refine
-from siltworks.plans.spec import MOVIE_ARRAY, MOVIE_DATASOURCE, MOVIE_SCHEMA, movie_spec
+from siltworks.plans.spec import MOVIE_ARRAY, MOVIE_DATASOURCE, MOVIE_FILES, MOVIE_SCHEMA, movie_spec
 from siltworks.sources.tables import read_table
 from siltworks.staging import settle
 from workload import stepwise
@@ -53,9 +57,13 @@ def loaded(spark, tmp_path_factory, spec):
     (landing / "notes.txt").write_text("not a movie")
     (landing / "movie_broken.json").write_text('{"movie": [')
     root = str(tmp_path_factory.mktemp("layers"))
+    (landing / "day=1").mkdir()
+    _write(landing / "day=1" / "movie_9.json", [(98, 2e6, 1, "xx", ACTION)])
     args = (spark, str(landing), root, "edge_cases", spec, MOVIE_SCHEMA, MOVIE_ARRAY, MOVIE_DATASOURCE)
-    refine.refine(*args)
-    tables = refine.refine(*args)  # a full refresh: the second run replaces the first
+    for _ in range(3):  # a full refresh: each run replaces the one before
+        tables = refine.refine(*args, name_glob=MOVIE_FILES)
+    for name in spec.tables.values():
+        assert len(list((Path(root) / name).glob("snapshot-*"))) == 2
     yield {role: read_table(spark, name) for role, name in tables.items()}
     spark.catalog.setCurrentDatabase("default")
 
@@ -102,14 +110,74 @@ def test_bronze(loaded):
 
 
 def test_end_state(loaded, spec):
-    counts = checks.end_state(loaded["bronze"], loaded["silver"], loaded["tag"], spec)
+    frames = [loaded[role] for role in ("bronze", "silver", "tag")]
+    counts = checks.end_state(*frames, spec, loaded["unreadable"])
     assert dict(rows(counts, "check", "rows")) == {
         "silver_rows": 7, "budget_failing": 0, "runtime_failing": 0, "budget_null": 0,
         "runtime_null": 1, "bronze_rows": 12, "not_loaded": 2, "null_unclassified": 4,
         "missing_attribute": 1,
-        "tag_rows": 2, "blank_tag_name": 0,
+        "tag_rows": 2, "blank_tag_name": 0, "unreadable_documents": 1,
     }
-    assert rows(checks.violations(counts, spec), "check", "rows") == [("not_loaded", 2)]
+    assert rows(checks.violations(counts, spec), "check", "rows") == [
+        ("not_loaded", 2), ("unreadable_documents", 1),
+    ]
+    assert checks.end_state(*frames, spec).count() == 11
+    (lost,) = loaded["unreadable"].collect()
+    assert lost.path.endswith("/movie_broken.json") and lost.text == '{"movie": ['
+
+
+def test_strict_load_fails(spark, tmp_path, spec):
+    (tmp_path / "movie_broken.json").write_text('{"movie": [')
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        refine.refine(
+            spark, str(tmp_path), str(tmp_path / "out"), "strict_load", spec, MOVIE_SCHEMA,
+            MOVIE_ARRAY, MOVIE_DATASOURCE, name_glob=MOVIE_FILES, mode="FAILFAST",
+        )
+    spark.catalog.setCurrentDatabase("default")
+
+
+def test_nothing_has_landed(spark, tmp_path, spec):
+    (tmp_path / "land").mkdir()
+    (tmp_path / "land" / "notes.txt").write_text("not a movie")
+    tables = refine.refine(
+        spark, str(tmp_path / "land"), str(tmp_path / "out"), "no_landing", spec, MOVIE_SCHEMA,
+        MOVIE_ARRAY, MOVIE_DATASOURCE, name_glob=MOVIE_FILES,
+    )
+    assert len(tables) == 6
+    for name in tables.values():
+        assert read_table(spark, name).count() == 0
+    assert "value" in read_table(spark, tables["bronze"]).columns
+    spark.catalog.setCurrentDatabase("default")
+
+
+def test_two_loads_at_a_time(spark, tmp_path, spec):
+    """Loads in two threads of one driver neither delete nor mix what they stage."""
+    found, failures = {}, []
+
+    def load(label, movies):
+        try:
+            land = tmp_path / label
+            land.mkdir()
+            _write(land / "movie_1.json", movies)
+            found[label] = refine.refine(
+                spark, str(land), str(tmp_path / f"out_{label}"), f"both_{label}", spec,
+                MOVIE_SCHEMA, MOVIE_ARRAY, MOVIE_DATASOURCE, name_glob=MOVIE_FILES,
+            )
+        except Exception as error:  # shown by the assertion below
+            failures.append(error)
+
+    threads = [
+        threading.Thread(target=load, args=args)
+        for args in (("a", MOVIES[:4]), ("b", MOVIES[4:]))
+    ]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert failures == []
+    counts = [read_table(spark, found[label]["bronze"]).count() for label in ("a", "b")]
+    assert counts == [4, 8]
+    spark.catalog.setCurrentDatabase("default")
 
 
 def test_stages(spark, loaded, spec):

@@ -1,48 +1,105 @@
+import threading
 from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
-from siltworks.session import MOST_PARTITIONS, sized_shuffles
-from siltworks.staging import passing, settle, shared_folder
+from siltworks.session import sized_session, with_shared_folder
+from siltworks.staging import passing, settle, shared_folder, staged_path
 
 NAME = "spark.sql.shuffle.partitions"
 
 
-def test_partitions_grow_with_the_input(spark):
+def test_partitions_grow_with_the_input(spark, settings):
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="12345")
     before = spark.conf.get(NAME)
-    with sized_shuffles(spark, 10 << 30) as partitions:
-        assert partitions == 80 and spark.conf.get(NAME) == "80"
-    with sized_shuffles(spark, 100 << 40) as partitions:
-        assert partitions == MOST_PARTITIONS
-    with sized_shuffles(spark, 5) as partitions:
-        assert partitions == int(before)
+    assert sized_session(spark, 10 << 30).conf.get(NAME) == "80"
+    assert sized_session(spark, 100 << 40).conf.get(NAME) == str(100 << 13)
+    own = sized_session(spark, 5)
+    assert own.conf.get(NAME) == before
+    assert own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "12345"
     assert spark.conf.get(NAME) == before
 
 
+def folder_of(df):
+    (folder,) = {Path(name.removeprefix("file:")).parent for name in df.inputFiles()}
+    return folder
+
+
 def test_passing_tables_are_deleted(spark):
     kept = settle(spark.range(3))
     with passing(spark):
-        gone = settle(spark.range(3))
-        (folder,) = {Path(name.removeprefix("file:")).parent for name in gone.inputFiles()}
-        assert folder.exists()
-    assert not folder.exists()
+        gone = folder_of(settle(spark.range(3)))
+        assert gone.exists()
+    assert not gone.exists()
     assert kept.count() == 3
     with pytest.raises(ValueError), passing(spark):
-        failed = settle(spark.range(3)).inputFiles()
+        failed = folder_of(settle(spark.range(3)))
         raise ValueError
-    assert not Path(failed[0].removeprefix("file:")).exists()
+    assert not failed.exists()
+
+
+def test_nested_blocks_keep_their_own(spark):
+    with passing(spark):
+        with passing(spark):
+            pass
+        outer = folder_of(settle(spark.range(3)))
+        with passing(spark):
+            inner = folder_of(settle(spark.range(3)))
+        assert outer.exists() and not inner.exists()
+    assert not outer.exists()
+
+
+def test_blocks_of_other_threads_are_left_alone(spark):
+    """What one thread stages while another's block is open stays when that block ends."""
+    opened, staged, closed = (threading.Event() for _ in range(3))
+    seen = {}
+
+    def first():
+        seen["first"] = folder_of(settle(spark.range(3)))
+        opened.wait(60)
+        seen["second"] = folder_of(settle(spark.range(3)))
+        staged.set()
+        closed.wait(60)
+        seen["there"] = seen["second"].exists()
+
+    thread = threading.Thread(target=first)
+    thread.start()
+    with passing(spark):
+        opened.set()
+        staged.wait(60)
+        own = folder_of(settle(spark.range(3)))
+    closed.set()
+    thread.join()
+    assert seen["there"] and not own.exists()
+
+
+def test_plain_tables_are_as_large_as_their_values(spark):
+    """Long equal texts compress to nothing, and a broadcast would hold them in full."""
+    texts = spark.range(200).selectExpr("id", "repeat('x', 50000) AS text")
+    small, plain = settle(texts), settle(texts, plain=True)
+    sizes = [sum(f.stat().st_size for f in folder_of(df).glob("*.parquet")) for df in (small, plain)]
+    assert sizes[0] < 1_000_000 < 10_000_000 <= sizes[1]
 
 
-def test_a_cluster_must_name_the_shared_folder():
+def test_a_session_must_name_the_shared_folder(spark):
     def session(master, conf_folder=None, context_folder=None):
-        return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: conf_folder),
-            sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: context_folder),
+        named = []
+        context = SimpleNamespace(
+            master=master, getCheckpointDir=lambda: context_folder or (named or [None])[0],
+            setCheckpointDir=named.append,
         )
+        conf = SimpleNamespace(get=lambda key, default: conf_folder)
+        return SimpleNamespace(conf=conf, sparkContext=context)
 
     assert shared_folder(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
     assert shared_folder(session("yarn", None, "hdfs:///set")) == "hdfs:///set"
-    assert Path(shared_folder(session("local[2]"))).is_dir()
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(session("yarn"))
+    for master in ("yarn", "local[2]", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(session(master))
+    for master in ("local", "local[2]", "local[*]"):
+        assert Path(shared_folder(with_shared_folder(session(master)))).is_dir()
+    with pytest.raises(RuntimeError):
+        shared_folder(with_shared_folder(session("local-cluster[3,2,1024]")))
+    folder = shared_folder(spark)
+    assert staged_path(spark, "x").startswith(folder + "/")

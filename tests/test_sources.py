@@ -40,7 +40,36 @@ def test_landing_takes_matching_names_in_the_folder_itself(spark, tmp_path):
         (tmp_path / name).write_text(json.dumps({"n": number}))
     (tmp_path / "below").mkdir()
     (tmp_path / "below" / "movie_5.json").write_text('{"n": 5}')
-    assert rows(documents.read_landing(spark, str(tmp_path), "n int")) == [(1,), (2,)]
+    assert rows(documents.read_landing(spark, str(tmp_path), "n int", "movie*")) == [(1,), (2,)]
+
+
+@pytest.mark.parametrize("name", ["land", "with blank + é%", "day=2"])
+def test_landing_beside_folders_named_like_partitions(spark, tmp_path, name):
+    folder = tmp_path / name
+    (folder / "day=1" / name).mkdir(parents=True)
+    (folder / "movie_1.json").write_text('{"n": 1}')
+    (folder / "day=1" / "movie_5.json").write_text('{"n": 5}')
+    (folder / "day=1" / name / "movie_6.json").write_text('{"n": 6}')
+    for path in (str(folder), f"file://{folder}/"):
+        found = documents.read_landing(spark, path, "n int", "movie*")
+        assert found.columns == ["n"] and rows(found) == [(1,)]
+        assert rows(files.inventory(spark, path, recursive=False).select("name")) == [("movie_1.json",)]
+    stream = landing.stream_landing(spark, str(folder), "n int", name_glob="movie*")
+    loaded, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    landing.load_available(stream, loaded, progress, partition_by=()).awaitTermination()
+    assert rows(spark.read.parquet(loaded)) == [(1,)]
+
+
+def test_split_landing_is_read_by_a_landing_reader(spark, tmp_path):
+    df = spark.range(95).select(F.col("id").alias("k"))
+    path = str(tmp_path / "land")
+    documents.split_landing(df, "movie", 8, ["k"], path, rows_per_document=5)
+    found = documents.read_landing(
+        spark, path, "chunk int, movie array<struct<k: bigint>>", multi_line=False
+    )
+    assert found.filter("size(movie) > 5").count() == 0
+    elements = found.select("chunk", F.explode("movie").alias("m")).select("chunk", "m.k")
+    assert rows(elements) == rows(documents.chunked(df, 8, ["k"]))
 
 
 def test_chunks_are_the_even_slices(spark):
@@ -117,6 +146,38 @@ def test_csv_reads_back_with_a_standard_reader(spark, tmp_path):
         assert sorted(map(tuple, list(csv.reader(lines))[1:])) == sorted(values)
 
 
+@pytest.mark.parametrize("line", ["", " ", "\t", "  \t "])
+def test_tsv_blank_lines_count(spark, tmp_path, line):
+    (tmp_path / "p.txt").write_text(TSV_HEADER + "a\tb\tc\td\te\n" + line + "\nf\tg\th\ti\tj\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        delimited.read_tsv(spark, str(tmp_path), PEOPLE).collect()
+    lenient = delimited.read_tsv(
+        spark, str(tmp_path), PEOPLE + ", _bad string", mode="PERMISSIVE", corrupt_column="_bad"
+    ).cache()
+    assert [r._bad for r in lenient.filter("_bad IS NOT NULL").collect()] == [line]
+    assert lenient.count() == 3
+    dropped = delimited.read_tsv(spark, str(tmp_path), PEOPLE, mode="DROPMALFORMED")
+    assert len(dropped.collect()) == 2
+
+
+def test_tsv_line_of_empty_fields(spark, tmp_path):
+    (tmp_path / "p.txt").write_text(TSV_HEADER + "\t \t\t\t\n")
+    assert rows(delimited.read_tsv(spark, str(tmp_path), PEOPLE)) == [("", " ", "", "", "")]
+
+
+def test_csv_keeps_blanks_and_times(spark, tmp_path):
+    values = [(" a ", "  "), ("", "\t"), ("x", " 12 elm")]
+    df = spark.createDataFrame(values, "a string, b string").withColumn(
+        "t", F.lit("2024-01-01 00:00:00.123456").cast("timestamp_ntz")
+    )
+    delimited.csv_writer(df.coalesce(1)).save(str(tmp_path / "out"))
+    (part,) = (tmp_path / "out").glob("part-*.csv")
+    with open(part, newline="") as lines:
+        found = list(csv.reader(lines))[1:]
+    assert sorted(tuple(r[:2]) for r in found) == sorted(values)
+    assert {r[2] for r in found} == {"2024-01-01T00:00:00.123456"}
+
+
 def test_csv_line_end(spark, tmp_path):
     delimited.csv_writer(spark.range(1).coalesce(1), line_end="\r\n").save(str(tmp_path / "out"))
     (part,) = (tmp_path / "out").glob("part-*.csv")
@@ -151,6 +212,40 @@ def test_publish_follows_a_change_of_layout(spark, tmp_path, database):
     assert tables.read_table(spark, name).count() == 6
 
 
+def test_publish_follows_a_change_of_format(spark, tmp_path, database):
+    name, base = f"{database}.formats", str(tmp_path / "formats")
+    for fmt in ("parquet", "orc", "parquet"):
+        tables.publish(spark.range(3), name, base, fmt=fmt)
+        assert rows(tables.read_table(spark, name)) == [(0,), (1,), (2,)]
+
+
+def test_publish_nothing(spark, tmp_path, database):
+    name, base = f"{database}.emptied", str(tmp_path / "emptied")
+    df = spark.range(6).select("id", (F.col("id") % 2).alias("p"))
+    tables.publish(df, name, base, partition_by=["p"])
+    tables.publish(tables.read_table(spark, name).filter("id < 0"), name, base, partition_by=["p"])
+    assert rows(tables.read_table(spark, name)) == []
+    assert tables.read_table(spark, name).dtypes == df.dtypes
+    tables.publish(df, name, base, partition_by=["p"])
+    assert tables.read_table(spark, name).count() == 6
+
+
+def test_old_snapshots_expire(spark, tmp_path, database):
+    name, base = f"{database}.kept", str(tmp_path / "kept")
+    for n in range(1, 5):
+        last = tables.publish(spark.range(n), name, base, keep=2)
+    found = sorted(p.name for p in (tmp_path / "kept").iterdir())
+    assert len(found) == 2 and last.endswith(found[-1])
+    assert tables.read_table(spark, name).count() == 4
+    tables.expire_snapshots(spark, base, 0)
+    assert tables.read_table(spark, name).count() == 4
+
+
+def test_frame_by_name(spark):
+    tables.name_frame(spark.range(3), "numbers_here")
+    assert spark.sql("SELECT sum(id) AS s FROM numbers_here").first().s == 3
+
+
 def test_register_replaces_and_leaves_data(spark, tmp_path, database):
     for label, n in (("a", 2), ("b", 3)):
         tables.write_table(spark.range(n), str(tmp_path / label))
@@ -204,7 +299,7 @@ def test_stream_loads_each_file_once(spark, tmp_path):
 
     def load():
         found = landing.stream_landing(
-            spark, source, "movie array<struct<Id: bigint>>", clean="archive", archive=archive
+            spark, source, "movie array<struct<Id: bigint>>", name_glob="movie*", clean="archive", archive=archive
         )
         records = found.select(F.explode("movie").alias("value"), F.current_date().alias("ingestdate"))
         landing.load_available(records, loaded, progress).awaitTermination()

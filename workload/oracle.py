@@ -87,7 +87,7 @@ SELECT lower(c_mktsegment) AS "FirstName",
        lower(c_name) AS "LastName",
        lower('C' || c_custkey || '@Example.com') AS "Email",
        replace('555-' || c_custkey || '-01', '-', '') AS "Phone",
-       regexp_replace(lower('No.' || c_custkey || ' Elm St #' || c_nationkey), 'no.|#', '', 'g') AS "Address"
+       regexp_replace(lower('No.' || c_custkey || ' Elm St #' || c_nationkey || ' #'), 'no.|#', '', 'g') AS "Address"
 FROM customer
 """
 
@@ -123,7 +123,25 @@ PLAIN = {
         SELECT c_custkey, abs(c_acctbal) FROM customer WHERE c_acctbal < 0""",
     "q_self_overwrite": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
     "q_tsv_scan": "SELECT * FROM customer",
-    "q_csv_roundtrip": "SELECT event_id, event_type, props FROM events",
+    "q_csv_roundtrip": """
+        SELECT *, '  ' || event_type || ' "' || event_id || '", ' AS padded,
+               CASE WHEN event_id % 2 = 0 THEN '  ' ELSE ',' END AS blank
+        FROM events""",
+    "q_split_refresh": ORDERS,
+    "q_split_rows": """
+        SELECT CAST(ceil(8 * pos / cnt) AS INTEGER) - 1 AS chunk, o_orderkey
+        FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS pos, count(*) OVER () AS cnt
+              FROM orders)""",
+    "q_inventory_top": """
+        SELECT 'txt' AS type, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes FROM documents""",
+    "q_publish_format": "SELECT * FROM nation",
+    "q_publish_empty": """
+        SELECT o_orderkey, o_orderstatus, 'filled' AS state FROM orders WHERE o_orderstatus = 'F'""",
+    "q_unreadable": """
+        SELECT CASE WHEN o_orderkey % 50 = 0
+                    THEN left('{"orders":[{"o_orderkey":' || o_orderkey || ',', 20)
+                    ELSE CAST(o_orderkey AS VARCHAR) END AS document
+        FROM orders""",
     "q_json_split": CHUNKED.format(stop="stop"),
     "q_json_split_overlap": CHUNKED.format(stop="CASE WHEN chunk = 0 THEN stop ELSE slice.cnt END"),
     "q_document_split": """
@@ -152,7 +170,7 @@ PLAIN = {
         UNION
         SELECT 'supply', lower(s_name), lower('S' || s_suppkey || '@Example.com'),
                replace('556-' || s_suppkey, '-', ''),
-               regexp_replace(lower('no.' || s_suppkey || ' North St'), 'no.|#', '', 'g')
+               regexp_replace(lower('No. ' || s_suppkey || ' North St'), 'no.|#', '', 'g')
         FROM supplier""",
     "q_explode": """
         SELECT count(*) AS n, min(x) AS low, max(x) AS high
@@ -226,6 +244,29 @@ LAYERED = {
         FROM tag WHERE name IS NOT NULL GROUP BY ALL""",
     "q_filter_and": """
         SELECT "Id", "Budget", "RunTime" FROM bronze WHERE "RunTime" >= 0 AND "Budget" > 100000""",
+    "q_distinct_records": """
+        SELECT "Id", "Budget", "RunTime", "OriginalLanguage", "CreatedDate" FROM (SELECT DISTINCT * FROM bronze)""",
+    "q_split_with_nulls": """
+        SELECT "Id", "Budget", CASE WHEN "Budget" < 100000 THEN 'below' ELSE 'rest' END AS side
+        FROM bronze WHERE "Budget" IS NOT NULL""",
+    "q_not_in_null_key": """
+        SELECT "Id", "OriginalLanguage" AS lang, 'with null' AS keys FROM bronze
+        WHERE "OriginalLanguage" NOT IN (
+            SELECT "OriginalLanguage" FROM bronze
+            WHERE "OriginalLanguage" <> '1-URGENT' OR "OriginalLanguage" IS NULL)
+        UNION ALL
+        SELECT "Id", "OriginalLanguage", 'without null' FROM bronze
+        WHERE "OriginalLanguage" NOT IN (
+            SELECT "OriginalLanguage" FROM bronze WHERE "OriginalLanguage" <> '1-URGENT')""",
+    "q_view_sql": """
+        SELECT "Id", CASE WHEN value IN (
+                   SELECT value FROM bronze WHERE "Budget" >= 100000 AND "RunTime" >= 0)
+               THEN 'loaded' ELSE 'new' END AS status
+        FROM bronze""",
+    "q_entity_silver": """
+        SELECT 'genre' AS entity, id, name FROM tag WHERE name <> ''
+        UNION SELECT 'movie_genre', movieid, CAST(genreid AS VARCHAR) FROM bridge
+        UNION SELECT 'language', languageid, language FROM language""",
     "q_duplicate_records": """SELECT value."Id" AS "Id", copies FROM repeated""",
     "q_distinct_struct": "SELECT DISTINCT id, name FROM tag",
     "q_genre_dim": "SELECT DISTINCT id, name FROM tag WHERE name <> ''",

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from siltworks.functions.text import fixed_width
@@ -84,15 +85,23 @@ def json_infer(spark, sf_dir):
 @query
 def landing_glob(spark, sf_dir):
     path, orders = _order_lines(spark, sf_dir)
-    delimited.csv_writer(table(spark, sf_dir, "nation"), mode="append").save(path)
+    _litter(spark, sf_dir, path)
     return documents.read_landing(
         spark, path, orders.schema, name_glob="part-*.json", multi_line=False
     )
 
 
+def _litter(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """What a landing folder may hold besides: other files, and folders with matching ones."""
+    delimited.csv_writer(table(spark, sf_dir, "nation"), mode="append").save(path)
+    for below in ("day=1", "older"):
+        table(spark, sf_dir, "orders").write.json(f"{path}/{below}")
+
+
 @query
 def landing_stream(spark, sf_dir):
     path, orders = _order_lines(spark, sf_dir)
+    _litter(spark, sf_dir, path)
     stream = landing.stream_landing(
         spark, path, orders.schema, name_glob="*.json", multi_line=False
     )
@@ -153,6 +162,43 @@ def append_union(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def publish_format(spark, sf_dir):
+    name, base = _in_database(spark, "nation"), staged_path(spark, "nation")
+    tables.publish(table(spark, sf_dir, "nation"), name, base)
+    tables.publish(tables.read_table(spark, name), name, base, fmt="orc", keep=1)
+    return tables.read_table(spark, name)
+
+
+@query
+def publish_empty(spark, sf_dir):
+    """A partitioned table whose rows all go keeps its columns, and takes rows again."""
+    name, base = _in_database(spark, "orders"), staged_path(spark, "orders")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    by = ["o_orderstatus"]
+    tables.publish(orders, name, base, partition_by=by)
+    tables.publish(tables.read_table(spark, name).filter("o_orderkey < 0"), name, base, partition_by=by)
+    emptied = tables.read_table(spark, name).withColumn("state", F.lit("emptied"))
+    tables.publish(orders.filter("o_orderstatus = 'F'"), f"{name}_again", f"{base}_again", partition_by=by)
+    again = tables.read_table(spark, f"{name}_again").withColumn("state", F.lit("filled"))
+    return emptied.unionByName(again)
+
+
+@query
+def view_sql(spark, sf_dir):
+    """A frame by its name in SQL, and a frame given to one statement."""
+    rows = bronze(spark, sf_dir)
+    name = "bronze_" + staged_path(spark, "view").rsplit("-", 1)[1]
+    tables.name_frame(rows, name)
+    clean = spark.sql(f"SELECT value FROM {name} WHERE value.Budget >= 100000 AND value.RunTime >= 0")
+    return spark.sql(
+        "SELECT value.Id, CASE WHEN value IN (SELECT value FROM {clean}) THEN 'loaded' ELSE status END"
+        " AS status FROM {rows}",
+        clean=clean,
+        rows=spark.table(name),
+    )
+
+
 @query
 def self_overwrite(spark, sf_dir):
     name, base = _in_database(spark, "line"), staged_path(spark, "line")
@@ -171,10 +217,19 @@ def tsv_scan(spark, sf_dir):
 
 @query
 def csv_roundtrip(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    key = F.col("event_id").cast("string")
+    padded = F.concat(F.lit("  "), "event_type", F.lit(' "'), key, F.lit('", ')).alias("padded")
+    blank = F.when(F.col("event_id") % 2 == 0, "  ").otherwise(",").alias("blank")
+    events = table(spark, sf_dir, "events").select("*", padded, blank)
     path = staged_path(spark, "events")
     delimited.csv_writer(events).save(path)
-    return spark.read.option("header", True).option("escape", '"').schema(events.schema).csv(path)
+    return (
+        spark.read.option("header", True)
+        .option("escape", '"')
+        .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        .schema(events.schema)
+        .csv(path)
+    )
 
 
 def _chunk_summary(spark: SparkSession, chunks: DataFrame) -> DataFrame:
@@ -205,6 +260,21 @@ def json_split_overlap(spark, sf_dir):
     return _chunk_summary(spark, chunks)
 
 
+@query
+def split_refresh(spark, sf_dir):
+    path, orders = staged_path(spark, "landing"), table(spark, sf_dir, "orders")
+    documents.split_landing(orders, "orders", 8, ["o_orderkey"], path, 1000, replayable=True)
+    schema = T.StructType().add("orders", T.ArrayType(orders.schema))
+    found = documents.read_landing(spark, path, schema, "part-*", multi_line=False)
+    return columns.expand_struct(columns.explode_column(found, "orders", "o"), "o", keep=False)
+
+
+@query
+def split_rows(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    return documents.chunked(orders, 8, ["o_orderkey"], replayable=True)
+
+
 @query
 def document_split(spark, sf_dir):
     path, schema = _order_documents(spark, sf_dir)
@@ -221,6 +291,16 @@ def inventory(spark, sf_dir):
     return files.inventory(spark, path).groupBy(lang, "type").agg(F.sum("size").alias("bytes"))
 
 
+@query
+def inventory_top(spark, sf_dir):
+    path = staged_path(spark, "texts")
+    texts = table(spark, sf_dir, "documents").select("text")
+    texts.write.text(path)
+    texts.write.text(f"{path}/lang=xx")
+    found = files.inventory(spark, path, recursive=False)
+    return found.groupBy("type").agg(F.sum("size").alias("bytes"))
+
+
 # Projections
 
 
@@ -281,7 +361,9 @@ def _customer_people(spark: SparkSession, sf_dir: str, other_style: bool = False
         case("c_name").alias("last"),
         (F.upper(email) if other_style else email).alias("email"),
         F.concat(F.lit("555" + dash), key, F.lit(dash + "01")).alias("phone"),
-        F.concat(number, key, F.lit(" Elm St #"), F.col("c_nationkey").cast("string")).alias("address"),
+        F.concat(
+            number, key, F.lit(" Elm St #"), F.col("c_nationkey").cast("string"), F.lit(" #")
+        ).alias("address"),
     )
 
 
@@ -292,19 +374,28 @@ def _supplier_people(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_name").alias("last"),
         F.concat(F.lit("S"), key, F.lit("@Example.com")).alias("email"),
         F.concat(F.lit("556-"), key).alias("phone"),
-        F.concat(F.lit("no."), key, F.lit(" North St")).alias("address"),
+        F.concat(F.lit("No. "), key, F.lit(" North St")).alias("address"),
     )
 
 
 def _as_tsv(people_rows: DataFrame) -> str:
     path = staged_path(people_rows.sparkSession, "tsv")
-    people_rows.write.option("sep", "\t").option("header", True).option("quote", "").csv(path)
+    (
+        people_rows.write.option("sep", "\t")
+        .option("header", True)
+        .option("quote", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
     return path
 
 
 @query
 def normalize(spark, sf_dir):
-    return people.normalize_people(_customer_people(spark, sf_dir))
+    contacts = _customer_people(spark, sf_dir)
+    padded = [F.concat(F.lit("  "), c, F.lit(" ")).alias(c) for c in contacts.columns]
+    return people.normalize_people(contacts.select(*padded))
 
 
 @query
@@ -364,6 +455,14 @@ def split_at_or_above(spark, sf_dir):
     return filters.split_at(orders, "o_totalprice", 100000)[1]
 
 
+@query
+def split_with_nulls(spark, sf_dir):
+    """Rows with a null budget are on neither side."""
+    fields = columns.expand_struct(bronze(spark, sf_dir), "value", keep=False).select("Id", "Budget")
+    below, rest = filters.split_at(fields, "Budget", 100000)
+    return below.withColumn("side", F.lit("below")).union(rest.withColumn("side", F.lit("rest")))
+
+
 @query
 def blank_split(spark, sf_dir):
     tags = columns.explode_column(bronze(spark, sf_dir), "value.genres", "tag")
@@ -421,6 +520,17 @@ def in_semi(spark, sf_dir):
     )
 
 
+@query
+def not_in_null_key(spark, sf_dir):
+    """A null among the keys admits nothing; the other side asks for what has no key."""
+    languages = bronze(spark, sf_dir).select("value.Id", F.col("value.OriginalLanguage").alias("lang"))
+    some = languages.filter("lang <> '1-URGENT' OR lang IS NULL")
+    known = some.filter("lang IS NOT NULL")
+    return joins.not_in(languages, "lang", some).withColumn("keys", F.lit("with null")).union(
+        joins.not_in(languages, "lang", known).withColumn("keys", F.lit("without null"))
+    )
+
+
 @query
 def not_in_anti(spark, sf_dir):
     return joins.not_in(
@@ -433,7 +543,7 @@ def not_in_anti(spark, sf_dir):
 
 @query
 def duplicates(spark, sf_dir):
-    return distinct.duplicates(table(spark, sf_dir, "documents"), "text", narrow=True)
+    return distinct.duplicates(table(spark, sf_dir, "documents"), "text")
 
 
 @query
@@ -441,6 +551,11 @@ def duplicate_records(spark, sf_dir):
     return distinct.duplicates(bronze(spark, sf_dir), "value").select("value.Id", "copies")
 
 
+@query
+def distinct_records(spark, sf_dir):
+    return distinct.distinct_records(bronze(spark, sf_dir).select("value")).select(*(F.col(f"value.{n}").alias(n) for n in RECORD_FIELDS))
+
+
 @query
 def singletons(spark, sf_dir):
     return distinct.singletons(table(spark, sf_dir, "lineitem"), "l_orderkey")
@@ -610,25 +725,31 @@ def single_occurrence_unfiltered(spark, sf_dir):
     )
 
 
-@query
-def entity_bronze(spark, sf_dir):
+def _entities(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The bronze and silver tables of the entities derived from bronze."""
     rows = bronze(spark, sf_dir)
     tags = columns.explode_column(rows, "value.genres", "genres").distinct()
-    saved = {
-        role: variants.save_entity(
-            variants.entity_bronze(entity, "derived"), _in_database(spark, role), staged_path(spark, role)
-        )
-        for role, entity in {
-            "genre": tags,
-            "movie_genre": refine.bridge(rows, SPEC),
-            "language": refine.attribute_dimension(rows, SPEC),
-        }.items()
+    entities = {
+        "genre": variants.Entity(
+            tags, ["genres.id", "genres.name"], F.col("genres.name") != "", F.col("genres.name") == ""
+        ),
+        "movie_genre": variants.Entity(refine.bridge(rows, SPEC), ["movieid", "genreid"]),
+        "language": variants.Entity(refine.attribute_dimension(rows, SPEC), ["languageid", "language"]),
     }
-    genre = variants.entity_status(
-        saved["genre"], F.col("genres.name") != "", F.col("genres.name") == ""
+    current = spark.catalog.currentDatabase()
+    root = staged_path(spark, "entities")
+    database = root.rsplit("/", 1)[1].replace("-", "_")
+    named = variants.refine_entities(spark, entities, root, database, "derived")
+    spark.catalog.setCurrentDatabase(current)
+    return named
+
+
+@query
+def entity_bronze(spark, sf_dir):
+    named = _entities(spark, sf_dir)
+    genre, bridge_rows, language = (
+        tables.read_table(spark, named[f"{role}_bronze"]) for role in ("genre", "movie_genre", "language")
     )
-    bridge_rows = variants.entity_status(saved["movie_genre"])
-    language = variants.entity_status(saved["language"])
     return (
         genre.select(F.lit("genre").alias("entity"), "genres.id", F.col("genres.name").alias("name"), "status")
         .union(
@@ -640,12 +761,42 @@ def entity_bronze(spark, sf_dir):
     )
 
 
+@query
+def entity_silver(spark, sf_dir):
+    named = _entities(spark, sf_dir)
+    genre, bridge_rows, language = (
+        tables.read_table(spark, named[f"{role}_silver"]) for role in ("genre", "movie_genre", "language")
+    )
+    return (
+        genre.select(F.lit("genre").alias("entity"), "id", "name")
+        .union(bridge_rows.select(F.lit("movie_genre"), "movieid", F.col("genreid").cast("string")))
+        .union(language.select(F.lit("language"), "languageid", "language"))
+    )
+
+
+@query
+def unreadable(spark, sf_dir):
+    """Documents of one order each, of which some are cut off: bronze, and what was lost."""
+    order = F.to_json(F.struct(F.array(F.struct("o_orderkey", "o_totalprice")).alias("orders")))
+    cut = F.when(F.col("o_orderkey") % 50 == 0, F.left(order, F.lit(20))).otherwise(order)
+    path = staged_path(spark, "landing")
+    table(spark, sf_dir, "orders").select(cut.alias("value")).write.text(path)
+    schema = "orders array<struct<o_orderkey: bigint, o_totalprice: double>>, _text string"
+    found = documents.read_landing(spark, path, schema, multi_line=False, corrupt_column="_text")
+    lost = refine.unreadable(found, "orders", "_text")
+    kept = columns.expand_struct(columns.explode_column(found, "orders", "o"), "o", keep=False)
+    return kept.select(F.col("o_orderkey").cast("string").alias("document")).union(lost.select("text"))
+
+
 @query
 def full_refresh(spark, sf_dir):
     rows = columns.expand_struct(bronze(spark, sf_dir), "value", keep=False)
     packed = documents.documents_of(rows, "movie", ROWS_PER_DOCUMENT, ["Id"], replayable=True)
     source = staged_path(spark, "landing")
     packed.drop("document").write.json(source)
+    # Records in folders below the landing folder are not its own.
+    for below in ("day=1", "older"):
+        packed.drop("document").write.json(f"{source}/{below}")
     schema = packed.select("movie").schema
     current = spark.catalog.currentDatabase()
     named = refine.refine(
