@@ -220,6 +220,8 @@ PLAIN = {
                *
         FROM lineitem""",
     "q_sparse_key": "SELECT count(*) AS n, count(*) AS n_ids FROM lineitem",
+    "q_sparse_key_rows": """
+        SELECT l_orderkey, count(*) AS n, count(*) AS n_ids FROM lineitem GROUP BY l_orderkey""",
     "q_merge_status": """
         SELECT o_orderkey, coalesce(big.status, o_orderstatus) AS status
         FROM orders LEFT JOIN (

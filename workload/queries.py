@@ -607,6 +607,14 @@ def sparse_key(spark, sf_dir):
     )
 
 
+@query
+def sparse_key_rows(spark, sf_dir):
+    lines = keys.sparse_key(table(spark, sf_dir, "lineitem").select("l_orderkey"), "lineid")
+    return lines.groupBy("l_orderkey").agg(
+        F.count("*").alias("n"), F.count_distinct("lineid").alias("n_ids")
+    )
+
+
 @query
 def genre_dim(spark, sf_dir):
     return refine.tag_dimension(bronze(spark, sf_dir), SPEC)
