@@ -25,8 +25,9 @@ FILTERS = 12
 EMBEDDING = 8
 # Labelled documents of a language that are learned from, about; one window of each.
 SAMPLE_PER_LANGUAGE = 1500
-# Sampled windows in all, at most.
+# Sampled windows in all, and languages, at most.
 SAMPLE = 60_000
+MOST_LANGUAGES = 10_000
 EPOCHS = 12
 BATCH = 128
 # Windows scored at once.
@@ -199,11 +200,17 @@ def sample(
         F.col(text).alias("text"),
         F.xxhash64(F.col(key), F.col(text)).alias("hash"),
     )
-    counts = usable.groupBy("label").count()
+    # One row for each language; more of them than this are not languages.
+    counted = usable.groupBy("label").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(counted) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages in column {lang}")
+    counts = docs.sparkSession.createDataFrame(
+        [(row["label"], row["count"]) for row in counted], "label string, count long"
+    )
     share = F.pmod(F.col("hash"), F.lit(1_000_000)) * F.col("count") < per_language * 1_000_000
     place = F.pmod(F.xxhash64("hash"), F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1)
     rows = (
-        usable.join(counts, "label")
+        usable.join(F.broadcast(counts), "label")
         .filter(share)
         .select("hash", "label", F.substring("text", place.cast("int") + 1, F.lit(WINDOW)).alias("text"))
         .orderBy("hash", "label", "text")

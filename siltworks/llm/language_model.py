@@ -26,8 +26,8 @@ from siltworks.llm.words import Words, blocks, mix, space_words
 from siltworks.staging import settle
 
 # Text bytes of a block, and of what a range of hashes answers for, about.
-BLOCK_TEXT = 12 << 20
-RANGE_TEXT = 24 << 20
+BLOCK_TEXT = 6 << 20
+RANGE_TEXT = 12 << 20
 HELD_OUT_MODULUS, HELD_OUT = 7, 2
 ITERATIONS = 40
 

@@ -73,10 +73,13 @@ class WordTokens:
     def _learn(self, hashes: list[int], words: list[str]) -> None:
         for at in range(0, len(words), 1024):
             part = words[at : at + 1024]
-            encoded = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            # Blanks part words, so many are encoded as one text and told apart by offsets.
+            encoded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             ids = np.array(encoded.ids, np.uint32)
-            of = np.array([-1 if w is None else w for w in encoded.word_ids], np.int64)
-            lengths = np.bincount(of[of >= 0], minlength=len(part))
+            sizes = np.fromiter(map(len, part), np.int64, len(part))
+            at_char = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(ids))
+            of = np.searchsorted(np.cumsum(sizes + 1), at_char, "right")
+            lengths = np.bincount(of, minlength=len(part))
             slot = len(self.slots)
             self.lengths = _room(self.lengths, slot + len(part))
             self.offsets = _room(self.offsets, slot + len(part))
