@@ -1,7 +1,7 @@
 """Quality rules on documents, and verdicts on the hosts they come from.
 
 Column functions only. A document fails by its own measures; a host fails when the share
-of its documents that fail, shrunk towards the corpus by a beta prior fitted to all
+of its documents that fail, shrunk towards the corpus by a beta prior fitted to the
 hosts, is above a limit. A host's verdict holds for all its documents.
 """
 
@@ -23,7 +23,7 @@ MOST_FAILING = 0.5
 LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1000.0
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-RESULTS = [*MEASURES, "base_failed", "host_kept", "kept"]
+RESULTS = [*MEASURES, "base_failed", "kept", "host_kept"]
 
 
 def repeated_words(words: Column, run: int = RUN) -> Column:
@@ -97,12 +97,27 @@ def measured(docs: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
     )
 
 
-def failing_hosts(docs: DataFrame, host: str, failed: str, limit: float) -> DataFrame:
-    """Hosts whose shrunk failure rate is above ``limit``, one row each.
+def prior_strength(n: Column, failed: Column) -> Column:
+    """How many documents the prior weighs: the sum of a beta-binomial's two parameters.
 
-    The prior has the mean rate of all documents and, by the method of moments, the spread
-    of the hosts' rates weighted by their documents.
+    An aggregate over hosts, by the method of moments. The chi-square of the hosts' rates
+    against their common rate is k - 1 on average where k hosts differ by chance alone; what
+    is above that is the spread between hosts. A host of one document says nothing about the
+    spread, so only hosts of two or more take part. Without any spread the prior has its
+    greatest strength.
     """
+    n, failed = (F.when(n > 1, x) for x in (n, failed))
+    documents, failures, hosts = F.sum(n), F.sum(failed), F.count(n)
+    between = F.sum(failed * failed / n) - failures * failures / documents
+    common = failures / documents * (1 - failures / documents)
+    chi_square = between / F.when(common > 0, common)
+    strength = (documents - F.sum(n * n) / documents - chi_square) / (chi_square - hosts + 1)
+    bounded = F.least(F.greatest(strength, F.lit(LEAST_STRENGTH)), F.lit(MOST_STRENGTH))
+    return F.when(chi_square > hosts - 1, bounded).otherwise(F.lit(MOST_STRENGTH))
+
+
+def failing_hosts(docs: DataFrame, host: str, failed: str, limit: float) -> DataFrame:
+    """Hosts whose shrunk failure rate is above ``limit``, one row each."""
     hosts = (
         docs.filter(F.col(host).isNotNull())
         .groupBy(F.col(host).alias("_host"))
@@ -114,11 +129,7 @@ def failing_hosts(docs: DataFrame, host: str, failed: str, limit: float) -> Data
     hosts = settle(hosts, "hosts")
     total = hosts.agg(F.sum("_n").alias("n"), F.sum("_failed").alias("failed"))
     mean = total.select(F.col("failed") / F.col("n")).scalar()
-    spread = hosts.agg(
-        F.sum(F.col("_n") * F.pow(F.col("_failed") / F.col("_n") - mean, 2)) / F.sum("_n")
-    ).scalar()
-    strength = F.when(spread > 0, mean * (1 - mean) / spread - 1).otherwise(MOST_STRENGTH)
-    strength = F.least(F.greatest(strength, F.lit(LEAST_STRENGTH)), F.lit(MOST_STRENGTH))
+    strength = hosts.agg(prior_strength(F.col("_n"), F.col("_failed"))).scalar()
     rate = (F.col("_failed") + mean * strength) / (F.col("_n") + strength)
     return hosts.filter(rate > limit).select("_host")
 
@@ -134,7 +145,7 @@ def host_rules(
 
     Adds ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``,
     ``base_failed`` (under 20 words, or over 30 percent of them in repeated windows),
-    ``host_kept`` and ``kept``. These replace kept columns of the same names.
+    ``kept`` and ``host_kept``. These replace kept columns of the same names.
 
     A null text has no words. A document without a host is judged alone. Repeated rows
     stay and count once each. What is written in between are the measures, not the texts.
@@ -159,6 +170,6 @@ def host_rules(
         *(F.col(f"_k{i}").alias(name) for i, name in enumerate(kept)),
         *MEASURES,
         "base_failed",
-        F.col("_host").isNull().alias("host_kept"),
         (~F.col("base_failed") & F.col("_host").isNull()).alias("kept"),
+        F.col("_host").isNull().alias("host_kept"),
     )

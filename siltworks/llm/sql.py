@@ -72,15 +72,23 @@ WITH d AS (
 ), hosts AS (
     SELECT source, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (base_failed) AS DOUBLE) AS bad
     FROM f WHERE source IS NOT NULL GROUP BY source
+), several AS (
+    SELECT n, bad / n AS rate, n / sum(n) OVER () AS w, sum(bad) OVER () / sum(n) OVER () AS mean
+    FROM hosts WHERE n > 1
+), moments AS (
+    SELECT any_value(mean) * (1 - any_value(mean)) AS v, sum(w * power(rate - mean, 2)) AS spread,
+        sum(w * (1 - w) / n) AS noise, sum(w * (1 - w)) AS whole
+    FROM several
+), correlation AS (
+    SELECT CASE WHEN v > 0 AND spread > v * noise THEN (spread / v - noise) / (whole - noise) END AS rho
+    FROM moments
 ), prior AS (
-    SELECT mean, CASE WHEN spread > 0 THEN mean * (1 - mean) / spread - 1 ELSE 1000 END AS s
-    FROM (
-        SELECT any_value(mean) AS mean, sum(n * power(bad / n - mean, 2)) / sum(n) AS spread
-        FROM hosts, (SELECT sum(bad) / sum(n) AS mean FROM hosts)
-    )
+    SELECT CASE WHEN rho IS NULL THEN 1000 ELSE least(greatest(1 / rho - 1, 1.0), 1000.0) END AS s,
+        (SELECT sum(bad) / sum(n) FROM hosts) AS mean
+    FROM correlation
 ), bad_hosts AS (
     SELECT source FROM hosts, prior
-    WHERE (bad + mean * least(greatest(s, 1.0), 1000.0)) / (n + least(greatest(s, 1.0), 1000.0)) > 0.5
+    WHERE (bad + mean * s) / (n + s) > 0.5
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     bad_hosts.source IS NULL AS host_kept,

@@ -4,6 +4,9 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
+import pytest
+
 from siltworks.llm import decontaminate, host_rules, secrets
 from tests.llm.conftest import SCHEMA, as_multiset, awkward_rows, invented
 
@@ -104,6 +107,60 @@ def test_host_verdicts(spark):
     assert {r["doc_id"]: r["host_kept"] for r in host_rules.host_rules(low).collect()}[200]
 
 
+def plain_strength(hosts):
+    """The prior's weight, from the hosts' rates less their sampling noise."""
+    hosts = [(n, bad) for n, bad in hosts if n > 1]
+    total = sum(n for n, _ in hosts)
+    mean = sum(bad for _, bad in hosts) / total if total else 0
+    if not 0 < mean < 1:
+        return host_rules.MOST_STRENGTH
+    shares = [n / total for n, _ in hosts]
+    spread = sum(w * (bad / n - mean) ** 2 for w, (n, bad) in zip(shares, hosts))
+    noise = sum(w * (1 - w) * mean * (1 - mean) / n for w, (n, _) in zip(shares, hosts))
+    whole = sum(w * (1 - w) * mean * (1 - mean) for w in shares)
+    if spread <= noise:
+        return host_rules.MOST_STRENGTH
+    strength = (whole - noise) / (spread - noise) - 1
+    return min(max(strength, host_rules.LEAST_STRENGTH), host_rules.MOST_STRENGTH)
+
+
+def strength_of(spark, hosts):
+    frame = spark.createDataFrame(hosts, "n double, bad double")
+    return frame.agg(host_rules.prior_strength(frame["n"], frame["bad"])).first()[0]
+
+
+@pytest.mark.parametrize(
+    "hosts",
+    [
+        [(1.0, 1.0)], [(5.0, 0.0), (1.0, 1.0)], [(4.0, 1.0)], [(10.0, 5.0), (10.0, 5.0)],
+        [(30.0, 0.0), (60.0, 54.0), (1.0, 1.0)], [(20.0, 4.0), (40.0, 6.0), (9.0, 6.0), (2.0, 1.0)],
+        [(100.0, 20.0), (50.0, 9.0), (70.0, 21.0), (1.0, 0.0), (200.0, 30.0)],
+    ],
+)
+def test_prior(spark, hosts):
+    assert strength_of(spark, hosts) == pytest.approx(plain_strength(hosts))
+
+
+@pytest.mark.parametrize("alpha,beta", [(1.0, 3.0), (4.0, 12.0), (30.0, 30.0)])
+def test_prior_is_found(spark, alpha, beta):
+    """Hosts of one to forty documents drawn from a known prior."""
+    rng = np.random.default_rng(4)
+    n = rng.integers(1, 41, 20_000)
+    bad = rng.binomial(n, rng.beta(alpha, beta, len(n)))
+    hosts = list(zip(n.astype(float).tolist(), bad.astype(float).tolist()))
+    assert strength_of(spark, hosts) == pytest.approx(alpha + beta, rel=0.1)
+
+
+@pytest.mark.parametrize("clean", [30, 300])
+def test_one_failing_document(spark, clean):
+    good = invented(7, 40)
+    rows = [(i, good, None, f"clean {i // 30}", 1) for i in range(clean)]
+    docs = spark.createDataFrame([*rows, (-1, "too short", None, "one", 1)], SCHEMA)
+    found = host_rules.host_rules(docs)
+    assert found.columns[-2:] == ["kept", "host_kept"]
+    assert all(row["host_kept"] for row in found.collect())
+
+
 ASSIGN = re.compile(
     r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )
