@@ -22,117 +22,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from siltworks.llm.frames import binary_texts, one_thread, without
-from siltworks.llm.words import Words, blocks, space_words
+from siltworks.llm.frames import binary_texts, without
+from siltworks.llm.tokens import Vocabulary, encoder_of
+from siltworks.llm.words import blocks
 from siltworks.staging import settle
 
 CAPACITY = 2048
 END = 0
-# Tokens of known words that a worker keeps before it starts afresh.
-KNOWN_TOKENS = 4_000_000
 # Ranks within a length are counted in so many parts, so that no length is one group.
 RANK_PARTS = 64
 
 RESULTS = ["piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"]
 
 
-class WordTokens:
-    """Ids of texts by a tokenizer that never joins what blanks or its word rule part.
-
-    Each distinct word is encoded once. Words are cut between an ASCII letter and ASCII
-    punctuation other than an apostrophe, where the tokenizer's own rule always cuts.
-    """
-
-    def __init__(self, path: str):
-        one_thread()
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        special = self.tokenizer.get_added_tokens_decoder().values()
-        self.special = [token.content.encode() for token in special]
-        self.letter = np.zeros(256, bool)
-        self.letter[0x61:0x7B] = True
-        self.mark = np.zeros(256, bool)
-        for low, high in ((0x21, 0x30), (0x3A, 0x41), (0x5B, 0x61), (0x7B, 0x7F)):
-            self.mark[low:high] = True
-        self.mark[ord("'")] = False
-        self._forget()
-
-    def _forget(self) -> None:
-        self.slots: dict[int, int] = {}
-        self.lengths = np.zeros(1 << 12, np.int64)
-        self.offsets = np.zeros(1 << 12, np.int64)
-        self.flat = np.zeros(1 << 14, np.uint32)
-        self.used = 0
-
-    def _plain(self, text: bytes) -> np.ndarray:
-        return np.array(
-            self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32
-        )
-
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        for at in range(0, len(words), 1024):
-            part = words[at : at + 1024]
-            # Blanks part words, so many are encoded as one text and told apart by offsets.
-            encoded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(encoded.ids, np.uint32)
-            sizes = np.fromiter(map(len, part), np.int64, len(part))
-            at_char = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(ids))
-            of = np.searchsorted(np.cumsum(sizes + 1), at_char, "right")
-            lengths = np.bincount(of, minlength=len(part))
-            slot = len(self.slots)
-            self.lengths = _room(self.lengths, slot + len(part))
-            self.offsets = _room(self.offsets, slot + len(part))
-            self.flat = _room(self.flat, self.used + len(ids))
-            self.lengths[slot : slot + len(part)] = lengths
-            self.offsets[slot : slot + len(part)] = self.used + np.cumsum(lengths) - lengths
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.slots.update(zip(hashes[at : at + 1024], range(slot, slot + len(part))))
-
-    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        if self.used > KNOWN_TOKENS:
-            self._forget()
-        words = Words(texts, space_words())
-        cut = np.flatnonzero(self.letter[words.data[:-1]] & self.mark[words.data[1:]]) + 1
-        starts = np.sort(np.concatenate([words.starts, cut]))
-        ends = np.sort(np.concatenate([words.ends, cut]))
-        words.starts, words.ends = starts, ends
-        hashes, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        new_hashes, new_words = [], []
-        for value, at in zip(hashes.tolist(), first.tolist()):
-            if value not in self.slots:
-                new_hashes.append(value)
-                new_words.append(words.bytes[starts[at] : ends[at]].decode())
-        self._learn(new_hashes, new_words)
-        slots = np.fromiter((self.slots[v] for v in hashes.tolist()), np.int64, len(hashes))[which]
-        lengths = self.lengths[slots]
-        ends_at = np.cumsum(lengths)
-        take = np.repeat(self.offsets[slots] - (ends_at - lengths), lengths)
-        take += np.arange(len(take))
-        ids = self.flat[take]
-        edges = np.append(0, ends_at)[np.searchsorted(starts, words.offsets)]
-        result = np.split(ids, edges[1:]) if len(texts) else []
-        for row, text in enumerate(texts):
-            if text and any(token in text for token in self.special):
-                result[row] = self._plain(text)
-        return result
-
-
-def _room(array: np.ndarray, size: int) -> np.ndarray:
-    if size <= len(array):
-        return array
-    larger = np.zeros(max(size, 2 * len(array)), array.dtype)
-    larger[: len(array)] = array
-    return larger
-
-
-_encoders: dict[str, WordTokens] = {}
-
-
 def pieces(
     docs: DataFrame,
-    tokenizer: str,
+    tokenizer: Vocabulary,
     text: str = "text",
     keep: Sequence[str] = ("doc_id",),
     capacity: int = CAPACITY,
@@ -143,9 +48,7 @@ def pieces(
     narrow = docs.select(*kept, F.col(text).alias("_packed_text"))
 
     def cut(batches):
-        if tokenizer not in _encoders:
-            _encoders[tokenizer] = WordTokens(tokenizer)
-        encoder = _encoders[tokenizer]
+        encoder = encoder_of(tokenizer)
         for batch in batches:
             texts = binary_texts(batch, "_packed_text")
             own = batch.select([n for n in batch.schema.names if n != "_packed_text"])
@@ -303,7 +206,7 @@ def packed(pieces: DataFrame, order: Sequence[str], capacity: int = CAPACITY) ->
 
 def pack_documents(
     docs: DataFrame,
-    tokenizer: str,
+    tokenizer: Vocabulary,
     text: str = "text",
     key: str = "doc_id",
     capacity: int = CAPACITY,

@@ -17,8 +17,10 @@ from siltworks.llm import (
     repeats,
     secrets,
     simhash,
+    token_files,
 )
 from siltworks.llm.frames import table
+from siltworks.llm.tokens import word_vocabulary
 
 # The folder of public vocabulary files, a package on driver and executors.
 VOCABULARIES = "/opt/tokenizers"
@@ -64,8 +66,7 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenizer = f"{VOCABULARIES}/word_bpe_49k.json"
-    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), word_vocabulary)
 
 
 @query
@@ -88,3 +89,8 @@ def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_documents(table(spark, sf_dir, "documents"), word_vocabulary)

@@ -11,10 +11,11 @@ import pytest
 from tokenizers import Tokenizer
 
 from siltworks.llm import archives, language, language_model, packing, quality
-from siltworks.llm.queries import VOCABULARIES
+from siltworks.llm import tokens as token_module
+from siltworks.llm.tokens import encoder_of, word_vocabulary
 from tests.llm.conftest import SCHEMA, as_multiset, awkward_rows, invented
 
-TOKENIZER = f"{VOCABULARIES}/word_bpe_49k.json"
+TOKENIZER = word_vocabulary()
 
 
 def test_pieces(clashing):
@@ -57,8 +58,8 @@ def test_packing_is_tight(spark, nothing):
 
 
 def test_words_are_learned_afresh(monkeypatch):
-    monkeypatch.setattr(packing, "KNOWN_TOKENS", 50)
-    tokens, plain = packing.WordTokens(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    monkeypatch.setattr(token_module, "KNOWN_TOKENS", 50)
+    tokens, plain = encoder_of(TOKENIZER), Tokenizer.from_file(TOKENIZER)
     for seed in range(5):
         texts = [invented(seed, 30), "", "don't... STOP—it's 3.14% <|startoftext|>"]
         found = tokens.encode([t.encode() for t in texts])
