@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from siltworks.llm import decontaminate, language, packing, secrets, simhash
 from siltworks.llm.frames import table
-from siltworks.llm.queries import VOCABULARIES
+from siltworks.llm.tokens import word_vocabulary
 from siltworks.staging import settle
 
 # A prediction less likely than this is no language.
@@ -50,7 +50,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their sequence and offset."""
-    return packing.pack_documents(docs, f"{VOCABULARIES}/word_bpe_49k.json")
+    return packing.pack_documents(docs, word_vocabulary)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
