@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltworks.llm import (
     archives,
     decontaminate,
+    hard_negatives,
     host_rules,
     language,
     language_model,
@@ -91,6 +93,13 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scored(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(rows)
+
+
 @query
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_documents(table(spark, sf_dir, "documents"), word_vocabulary)

@@ -129,6 +129,32 @@ SELECT doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes,
 FROM d LEFT JOIN sums USING (k) LEFT JOIN kept USING (k)
 """
 
+ORACLE["op12_hard_negatives"] = """
+WITH v AS (
+    SELECT row_number() OVER () AS k, vec_id,
+        CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.k AS anchor, a.vec_id AS anchor_id, c.k, c.vec_id, a.label = c.label AS same,
+        CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+    FROM v AS a JOIN v AS c ON a.k <> c.k
+    WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor, anchor_id, k AS positive, vec_id AS positive_id, score AS positive_score
+    FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, k) <= 5
+)
+SELECT p.anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY p.anchor, positive ORDER BY score DESC, vec_id NULLS LAST, k) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives AS p JOIN scored AS s ON s.anchor = p.anchor AND NOT same
+WHERE 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 
 def all_sql() -> dict[str, str]:
     return dict(ORACLE)
