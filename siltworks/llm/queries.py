@@ -15,6 +15,7 @@ from siltworks.llm import (
     language,
     language_model,
     packing,
+    prefix_trie,
     quality,
     repeats,
     secrets,
@@ -93,6 +94,11 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scored(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.opened_trie(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))

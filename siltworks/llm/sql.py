@@ -129,6 +129,48 @@ SELECT doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes,
 FROM d LEFT JOIN sums USING (k) LEFT JOIN kept USING (k)
 """
 
+# crc32 of a number's decimal digits, bit by bit.
+_CRC32 = (
+    "xor(list_reduce([4294967295] || flatten(list_transform(string_split(CAST({0} AS VARCHAR), ''), "
+    "lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])), "
+    "lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"
+)
+
+ORACLE["op11_prefix_trie"] = rf"""
+WITH own AS (
+    SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), opened AS (
+    SELECT *, {_CRC32.format("conv_id")} % 4 AS h FROM own
+), told AS (
+    SELECT o.conv_id, coalesce(b.turns[1 : h], []) || o.turns[h + 1 :] AS turns
+    FROM opened AS o LEFT JOIN own AS b ON b.conv_id = o.conv_id - o.conv_id % 20
+), paths AS (
+    SELECT conv_id, size, depth, turns[1 : depth] AS path
+    FROM (SELECT conv_id, turns, len(turns) AS size, unnest(range(0, len(turns) + 1)) AS depth FROM told)
+), nodes AS (
+    SELECT row_number() OVER () AS k, * FROM (
+        SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) = depth AS leaf,
+            CASE WHEN depth = 0 THEN 0
+                ELSE len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')) END AS words,
+            sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends
+        FROM paths GROUP BY depth, path
+    )
+), places AS (
+    SELECT k, p.conv_id, p.depth FROM paths AS p JOIN nodes AS n ON p.depth = n.depth AND p.path = n.path
+), subtrees AS (
+    SELECT p.k, count(*) FILTER (leaf) AS n_leaves, sum((n_convs - 1) * words) AS saved
+    FROM places AS p JOIN nodes AS n ON n.conv_id = p.conv_id AND n.depth >= p.depth GROUP BY p.k
+), children AS (
+    SELECT depth - 1 AS depth, path[1 : depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+    n_leaves, CAST(saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM nodes AS n JOIN subtrees USING (k)
+    LEFT JOIN children AS c ON c.depth = n.depth AND c.path = n.path
+    LEFT JOIN nodes AS u ON u.depth = n.depth - 1 AND u.path = n.path[1 : n.depth - 1]
+"""
+
 ORACLE["op12_hard_negatives"] = """
 WITH v AS (
     SELECT row_number() OVER () AS k, vec_id,
