@@ -37,7 +37,7 @@ END = 1
 # Sequences of a batch, and of a file before it ends at the next end of a document.
 BATCH = 256
 FILE_SEQUENCES = 4096
-# Bytes of ids in one range of the documents' order.
+# Bytes of texts in one range of the documents' order.
 RANGE_BYTES = 32 << 20
 # An Arrow file ends with these bytes. Spark's text writer puts them after each value,
 # and a file gets one value.
@@ -142,38 +142,6 @@ class Sequences:
             raise ValueError(f"documents of {at} tokens among {total}")
 
 
-def encoded(
-    docs: DataFrame, vocabulary: Vocabulary, text: str, key: str, end: int, id_type: str
-) -> DataFrame:
-    """``_key``, ``_ids`` (bytes of ``id_type``, closed by ``end``), ``_size`` and ``_print``."""
-
-    def encode(batches):
-        encoder, limit = encoder_of(vocabulary), np.iinfo(id_type).max
-        for batch in batches:
-            texts = binary_texts(batch, "_text")
-            for first, last in blocks(texts):
-                out, sizes, prints = [], [], []
-                for tokens in encoder.encode(texts[first:last]):
-                    tokens = np.append(tokens, np.uint32(end))
-                    if int(tokens.max()) > limit:
-                        raise ValueError(f"an id of {int(tokens.max())} is no {id_type}")
-                    out.append(tokens.astype(np.dtype(id_type).newbyteorder("<")).tobytes())
-                    sizes.append(len(tokens))
-                    prints.append(zlib.crc32(out[-1]))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, last - first),
-                        pa.array(out, pa.binary()),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(prints, pa.int64()),
-                    ],
-                    names=["_key", "_ids", "_size", "_print"],
-                )
-
-    narrow = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
-    return narrow.mapInArrow(encode, "_key long, _ids binary, _size long, _print long")
-
-
 def write_token_files(
     docs: DataFrame,
     vocabulary: Vocabulary,
@@ -189,20 +157,29 @@ def write_token_files(
     """The ids of all documents, each closed by ``end``, in files below ``path``.
 
     Documents are in ascending order of ``key``, an integer, null before all; rows with equal
-    keys are documents of their own, ordered by their ids. A null text is empty, so its
-    document is the end mark alone. An empty table leaves no file with sequences. An id that
-    ``id_type`` does not hold fails the job. A task holds one file and one document at a time.
+    keys are documents of their own, ordered by length and hash of their texts. A null text is
+    empty, so its document is the end mark alone. An empty table leaves no file with sequences. An
+    id that ``id_type`` does not hold fails the job. Texts are put in order before they are
+    encoded, so nothing but the files is written. A task holds one file, some texts and one
+    document at a time.
     """
-    rows = settle(encoded(docs, vocabulary, text, key, end, id_type), "ids")
-    size = rows.agg(F.sum("_size")).first()[0] or 0
-    parts = max(1, -(-size * np.dtype(id_type).itemsize // range_bytes))
-    # Rows alike in everything are interchangeable; their place in the written table keeps many
-    # of them from ending up in one range.
+    value = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    # Rows alike in key and text are interchangeable; their place in the input keeps many of them
+    # from ending up in one range.
     order = ["_key", "_size", "_print", "_place"]
-    placed = rows.withColumn("_place", F.monotonically_increasing_id())
-    ordered = placed.repartitionByRange(int(parts), *order).sortWithinPartitions(*order)
+    rows = docs.select(
+        F.col(key).cast("long").alias("_key"),
+        value.alias("_text"),
+        F.octet_length(value).alias("_size"),
+        F.xxhash64(value).alias("_print"),
+        F.monotonically_increasing_id().alias("_place"),
+    )
+    size = rows.agg(F.sum(F.col("_size") + 1)).first()[0] or 0
+    parts = max(1, -(-size // range_bytes))
+    ordered = rows.repartitionByRange(int(parts), *order).sortWithinPartitions(*order)
 
     def files(batches):
+        encoder, limit = encoder_of(vocabulary), np.iinfo(id_type).max
         least, place = file_sequences * length, {"range": TaskContext.get().partitionId(), "number": 0}
         keys, tokens, held = [], [], 0
 
@@ -215,18 +192,22 @@ def write_token_files(
             )
 
         for batch in batches:
-            for own, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                keys.append(own)
-                tokens.append(np.frombuffer(data.as_buffer(), np.dtype(id_type).newbyteorder("<")))
-                held += len(tokens[-1])
-                if held >= least:
-                    yield file()
-                    keys, tokens, held = [], [], 0
-                    place["number"] += 1
+            texts, own = binary_texts(batch, "_text"), batch.column(0).to_pylist()
+            for first, last in blocks(texts):
+                for row, ids in enumerate(encoder.encode(texts[first:last]), first):
+                    if ids.max(initial=end) > limit:
+                        raise ValueError(f"an id of {int(ids.max())} is no {id_type}")
+                    keys.append(own[row])
+                    tokens.append(np.append(ids, np.uint32(end)).astype(id_type))
+                    held += len(tokens[-1])
+                    if held >= least:
+                        yield file()
+                        keys, tokens, held = [], [], 0
+                        place["number"] += 1
         if keys:
             yield file()
 
-    written = ordered.select("_key", "_ids").mapInArrow(files, "value binary")
+    written = ordered.select("_key", "_text").mapInArrow(files, "value binary")
     written.select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 1).option(
         "lineSep", MAGIC.decode()
     ).text(path)

@@ -23,8 +23,8 @@ def plain_documents(rows, path=TOKENIZER):
     for key, text, *_ in rows:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [token_files.END]
         crc = zlib.crc32(np.array(ids, "<u4").tobytes())
-        stored = np.array(ids, "<u2").tobytes()
-        listed.append(((key is not None, key or 0, len(ids), zlib.crc32(stored)), key, len(ids), crc, ids))
+        size = len((text or "").encode())
+        listed.append(((key is not None, key or 0, size), key, len(ids), crc, ids))
     found, start = [], 0
     for _, key, size, crc, ids in sorted(listed, key=lambda x: x[0]):
         found.append((key, start, size, crc, ids))
