@@ -2,8 +2,8 @@
 
 A file is a complete Arrow file whose batches hold ``ids`` and ``mask`` as fixed-size lists of
 ``length`` values, neither compressed nor with nulls, so that a memory-mapped file gives
-sequence i as two views, without a copy: row i % ``BATCH`` of batch i // ``BATCH``. The mask is
-1 for a token and 0 for padding. ``documents`` lists the documents that begin in a sequence,
+sequence i as two views, without a copy: row i % ``BATCH`` of batch i // ``BATCH``. The mask, a bit
+each, is set for a token and not for padding. ``documents`` lists the documents that begin in a sequence,
 with the place of their first token in it and their number of tokens; a document runs on
 into the following sequences of its file.
 
@@ -36,7 +36,7 @@ LENGTH = 2048
 END = 1
 # Sequences of a batch, and of a file before it ends at the next end of a document.
 BATCH = 256
-FILE_SEQUENCES = 4096
+FILE_SEQUENCES = 2048
 # Bytes of texts in one range of the documents' order.
 RANGE_BYTES = 32 << 20
 # An Arrow file ends with these bytes. Spark's text writer puts them after each value,
@@ -49,7 +49,7 @@ def sequence_schema(length: int, id_type: str) -> pa.Schema:
     return pa.schema(
         [
             pa.field("ids", pa.list_(pa.field("id", pa.type_for_alias(id_type), False), length), False),
-            pa.field("mask", pa.list_(pa.field("set", pa.uint8(), False), length), False),
+            pa.field("mask", pa.list_(pa.field("set", pa.bool_(), False), length), False),
             pa.field("documents", pa.list_(documents), False),
         ]
     )
@@ -57,15 +57,14 @@ def sequence_schema(length: int, id_type: str) -> pa.Schema:
 
 def file_of(
     keys: list[int | None], tokens: list[np.ndarray], length: int, id_type: str, place: dict[str, int]
-) -> bytes:
+) -> pa.Buffer:
     """A file of whole documents; ``place`` goes into its metadata."""
     sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
     total, starts = int(sizes.sum()), np.cumsum(sizes) - sizes
     rows = -(-total // length)
     ids = np.zeros(rows * length, id_type)
     np.concatenate(tokens, out=ids[:total], casting="same_kind")
-    mask = np.zeros(rows * length, np.uint8)
-    mask[:total] = 1
+    mask = np.arange(rows * length) < total
     schema = sequence_schema(length, id_type)
     documents = pa.StructArray.from_arrays(
         [pa.array(keys, pa.int64()), pa.array((starts % length).astype(np.int32)), pa.array(sizes)],
@@ -80,12 +79,18 @@ def file_of(
         ],
         schema=schema,
     )
-    sink = pa.BufferOutputStream()
     described = schema.with_metadata({name: str(value) for name, value in place.items()})
-    with pa.ipc.new_file(sink, described) as writer:
-        for at in range(0, rows, BATCH):
-            writer.write_batch(table.slice(at, BATCH).replace_schema_metadata(described.metadata))
-    return sink.getvalue().to_pybytes()
+
+    def write(sink) -> None:
+        with pa.ipc.new_file(sink, described) as writer:
+            for at in range(0, rows, BATCH):
+                writer.write_batch(table.slice(at, BATCH).replace_schema_metadata(described.metadata))
+
+    measured = pa.MockOutputStream()
+    write(measured)
+    content = pa.allocate_buffer(measured.size())
+    write(pa.FixedSizeBufferWriter(content))
+    return content
 
 
 class Sequences:
@@ -106,15 +111,15 @@ class Sequences:
             return 0
         return BATCH * (len(self.batches) - 1) + self.batches[-1].num_rows
 
-    def column(self, name: str, number: int) -> np.ndarray:
-        """The ids or masks of a batch, a row for each sequence."""
-        return self.batches[number].column(name).flatten().to_numpy().reshape(-1, self.length)
+    def ids(self, number: int) -> np.ndarray:
+        """The ids of a batch, a row for each sequence."""
+        return self.batches[number].column("ids").flatten().to_numpy().reshape(-1, self.length)
 
-    def __getitem__(self, row: int) -> tuple[np.ndarray, np.ndarray]:
+    def __getitem__(self, row: int) -> tuple[np.ndarray, pa.BooleanArray]:
         if not 0 <= row < len(self):
             raise IndexError(row)
         number, row = divmod(row, BATCH)
-        return self.column("ids", number)[row], self.column("mask", number)[row]
+        return self.ids(number)[row], self.batches[number].column("mask")[row].values
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """Key, tokens before it in the file, and ids of each document, in order.
@@ -124,8 +129,8 @@ class Sequences:
         if not self.batches:
             return
         numbers = range(len(self.batches))
-        ids = np.concatenate([self.column("ids", i).reshape(-1) for i in numbers])
-        total = sum(int(self.column("mask", i).sum()) for i in numbers)
+        ids = np.concatenate([self.ids(i).reshape(-1) for i in numbers])
+        total = sum(batch.column("mask").flatten().true_count for batch in self.batches)
         at = row = 0
         for batch in self.batches:
             lists = batch.column("documents")
@@ -185,11 +190,12 @@ def write_token_files(
 
         def file():
             content = file_of(keys, tokens, length, id_type, place)
-            if not content.endswith(MAGIC):
+            size = content.size - len(MAGIC)
+            if content.slice(size).to_pybytes() != MAGIC:
                 raise ValueError("an Arrow file has another end than expected")
-            return pa.RecordBatch.from_arrays(
-                [pa.array([content[: -len(MAGIC)]], pa.binary())], names=["value"]
-            )
+            edges = pa.py_buffer(np.array([0, size], np.int32))
+            value = pa.Array.from_buffers(pa.binary(), 1, [None, edges, content.slice(0, size)])
+            return pa.RecordBatch.from_arrays([value], names=["value"])
 
         for batch in batches:
             texts, own = binary_texts(batch, "_text"), batch.column(0).to_pylist()

@@ -60,10 +60,11 @@ def test_random_access(spark, awkward):
         whole, last = len(file) - 1, None
         for row in range(len(file)):
             ids, mask = file[row]
-            assert ids.shape == mask.shape == (64,) and not ids.flags.owndata
+            assert ids.shape == (64,) and len(mask) == 64 and not ids.flags.owndata
+            mask = mask.to_numpy(zero_copy_only=False)
             if row < whole:
                 assert mask.all()
-            stream += ids[mask == 1].tolist()
+            stream += ids[mask].tolist()
             last = mask
         assert (np.diff(last.astype(int)) <= 0).all()
         with pytest.raises(IndexError):
@@ -77,8 +78,8 @@ def test_random_access(spark, awkward):
 
 def test_damaged_file():
     content = token_files.file_of([1, 2], [np.arange(5, dtype=np.uint16)] * 2, 4, "uint16", {"range": 0})
-    assert [x[:2] for x in token_files.Sequences(pa.py_buffer(content)).documents()] == [(1, 0), (2, 5)]
-    table = pa.ipc.open_file(content).read_all()
+    assert [x[:2] for x in token_files.Sequences(content).documents()] == [(1, 0), (2, 5)]
+    table = pa.ipc.open_file(pa.BufferReader(content)).read_all()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_file(sink, table.schema) as writer:
         writer.write_table(table.slice(1))
