@@ -12,3 +12,10 @@ def row_key(*columns: Column | str) -> Column:
     Unequal records may share a key, so compare the records too.
     """
     return F.xxhash64(*columns)
+
+
+def second_key(*columns: Column | str) -> Column:
+    """Another 64-bit hash of whole records, that tells a null from a struct of nulls, and null
+    fields by their names, which :func:`row_key` passes over.
+    """
+    return F.xxhash64(F.to_json(F.struct(*columns)))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,6 +79,23 @@ def dense_key(
     )
 
 
+def extend_keys(known: DataFrame, values: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """A keyed dimension with the values it lacks; those it has keep their keys.
+
+    ``known`` is a written table with each value once; its columns other than ``key`` are the
+    value, and ``values`` holds them, copies allowed. New values continue after the largest key in
+    ascending order, nulls first, as :func:`dense_key` numbers them; without known values they
+    start at 1. Nulls are equal, so a null value gets one key, the first time it is seen.
+    """
+    columns = [name for name in known.columns if name.lower() != key.lower()]
+    seen = known.select(*(F.col(name).alias(f"_{name}") for name in columns))
+    same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_{name}")) for name in columns))
+    fresh = values.select(*columns).distinct().join(seen, same, "left_anti")
+    last = known.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
+    numbered = dense_key(fresh, key, order_by).withColumn(key, F.col(key) + last)
+    return known.unionByName(numbered.select(known.columns))
+
+
 def sparse_key(df: DataFrame, key: str) -> DataFrame:
     """Add a leading unique id with gaps, without a shuffle."""
     return df.select(F.monotonically_increasing_id().alias(key), "*")

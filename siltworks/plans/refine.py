@@ -23,6 +23,7 @@ from siltworks.plans.spec import Spec
 from siltworks.session import sized_session
 from siltworks.sources.documents import read_landing
 from siltworks.sources.files import inventory
+from siltworks.sources.snapshots import publish_swap
 from siltworks.sources.tables import ensure_database, publish
 from siltworks.staging import passing, settle
 
@@ -181,7 +182,9 @@ def refine(
         documents = documents.withColumn(corrupt_column, F.lit(None).cast("string"))
 
     def save(df: DataFrame, role: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        publish(df, tables[role], paths[role], fmt, partition_by, keep_snapshots)
+        # A catalog keeps a location per partition, so a partitioned table changes over as a view.
+        sink = publish_swap if partition_by else publish
+        sink(df, tables[role], paths[role], fmt, partition_by, keep_snapshots)
         return own.read.table(tables[role])
 
     with passing(own):

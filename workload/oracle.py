@@ -156,6 +156,56 @@ PLAIN = {
     "q_inventory": """
         SELECT lang, 'txt' AS type, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes
         FROM documents GROUP BY lang""",
+    "q_inventory_all": """
+        SELECT 'by language/lang=' || lang AS folder, 0 AS hidden, CAST(0 AS BIGINT) AS n_empty,
+            CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes
+        FROM documents GROUP BY lang
+        UNION ALL SELECT 'all/of/them', 0, 0, CAST(sum(strlen(text) + 1) AS BIGINT) FROM documents
+        UNION ALL SELECT 'none', 0, 1, 0
+        UNION ALL SELECT unnest(['by language', 'all/of/them', 'none']), 1, 1, 0""",
+    "q_update_partitions": """
+        SELECT o_orderkey, CASE WHEN quantity > 200 THEN 'big'
+                                WHEN o_custkey = (SELECT min(o_custkey) FROM orders) THEN 'seen'
+                                ELSE o_orderstatus END AS status,
+            CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month
+        FROM orders LEFT JOIN (
+            SELECT l_orderkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_orderkey
+        ) ON l_orderkey = o_orderkey""",
+    "q_update_partitions_not_in": """
+        SELECT o_orderkey, CASE WHEN o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 10)
+                                THEN 'small' ELSE o_orderstatus END AS status,
+            CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month
+        FROM orders""",
+    "q_publish_swap": """
+        SELECT 'before' AS state, o_orderstatus, count(*) AS n, CAST(NULL AS BIGINT) AS rest
+        FROM orders GROUP BY o_orderstatus
+        UNION ALL
+        SELECT 'now', o_orderstatus, count(*), CAST(sum(o_custkey % 3) AS BIGINT)
+        FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_orderstatus""",
+    "q_dense_key_append": """
+        WITH first AS (
+            SELECT row_number() OVER (ORDER BY c_mktsegment, c_nationkey) AS segmentid, *
+            FROM (SELECT DISTINCT c_mktsegment, c_nationkey FROM customer WHERE c_acctbal < 0)
+        ), further AS (
+            SELECT c_mktsegment, c_nationkey FROM customer
+            EXCEPT SELECT c_mktsegment, c_nationkey FROM first
+        )
+        SELECT * FROM first
+        UNION ALL
+        SELECT (SELECT count(*) FROM first) + row_number() OVER (ORDER BY c_mktsegment, c_nationkey), *
+        FROM further""",
+    "q_duplicates_incremental": """
+        SELECT text, count(*) AS copies, count(*) FILTER (doc_id % 3 <> 0) AS earlier
+        FROM documents GROUP BY text
+        HAVING count(*) > 1 AND count(*) FILTER (doc_id % 3 = 0) > 0""",
+    "q_snapshot_changes": """
+        SELECT text, lang, source, before, after, CASE WHEN before = 0 THEN 'added'
+            WHEN after = 0 THEN 'removed' ELSE 'copies' END AS change
+        FROM (
+            SELECT text, lang, CASE WHEN doc_id % 4 > 0 THEN source END AS source,
+                count(*) FILTER (doc_id % 5 <> 0) AS before, count(*) FILTER (doc_id % 7 <> 0) AS after
+            FROM documents GROUP BY ALL
+        ) WHERE before <> after""",
     "q_add_metadata": """
         SELECT 'orders file' AS datasource, 'new' AS status, count(*) AS n, count(*) AS n_dated
         FROM orders""",
@@ -318,6 +368,14 @@ LAYERED = {
         FROM (SELECT DISTINCT id, name FROM tag)
         UNION ALL SELECT 'movie_genre', moviegenreid, movieid || '-' || genreid, 'loaded' FROM bridge
         UNION ALL SELECT 'language', languageid, language, 'loaded' FROM language""",
+    "q_incremental_refresh": """
+        SELECT 'bronze' AS layer, "Id", status FROM finished
+        UNION ALL
+        SELECT 'silver', "Id", language FROM silver JOIN language ON "OriginalLanguage" = languageid
+        UNION ALL
+        SELECT DISTINCT 'tag', id, name FROM tag WHERE name <> ''
+        UNION ALL
+        SELECT 'bridge', movieid, CAST(genreid AS VARCHAR) FROM bridge""",
     "q_full_refresh": """
         SELECT 'bronze' AS layer, "Id", status FROM finished
         UNION ALL

@@ -818,3 +818,7 @@ def full_refresh(spark, sf_dir):
         bronze_rows.select(F.lit("bronze").alias("layer"), "value.Id", "status")
         .union(silver_rows.select(F.lit("silver"), "Id", F.col("OriginalLanguage").cast("string")))
     )
+
+
+# Queries on tables that change register themselves.
+from workload import loads  # noqa: E402,F401
