@@ -20,7 +20,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.sources.tables import _provider, delete_folder, register_table, write_table
+from siltworks.sources.tables import register_table, write_table
+from siltworks.staging import delete_folder
 
 # Partitions that one statement enters in the catalog.
 PARTITIONS_AT_ONCE = 200
@@ -40,16 +41,29 @@ def _literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _is_view(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
+def _catalog(spark: SparkSession, name: str):
+    """The session's catalog, and a table's name for it. It answers without a Spark job."""
+    state = spark._jsparkSession.sessionState()
+    return state.catalog(), state.sqlParser().parseTableIdentifier(_quoted(name))
+
+
+def _described(spark: SparkSession, name: str):
+    """What the catalog holds on a table or view, or None if there is none."""
+    catalog, identifier = _catalog(spark, name)
+    return catalog.getTableMetadata(identifier) if catalog.tableExists(identifier) else None
+
+
+def _path(spark: SparkSession, uri) -> str:
+    """A location as a path; the text of its URI would be escaped once more."""
+    return re.sub("^file:/+", "/", spark._jvm.org.apache.hadoop.fs.Path(uri).toString())
 
 
 def current_snapshot(spark: SparkSession, name: str) -> str | None:
     """The snapshot table that a published name shows, or None if there is no such name."""
-    if not _is_view(spark, name):
+    found = _described(spark, name)
+    if found is None or found.tableType().name() != "VIEW":
         return None
-    text = _describe(spark, name, "View Text")
-    return re.fullmatch(r"SELECT \* FROM (.*)", text).group(1).replace("`", "")
+    return re.fullmatch(r"SELECT \* FROM (.*)", found.viewText().get()).group(1).replace("`", "")
 
 
 def snapshots(spark: SparkSession, name: str) -> list[str]:
@@ -69,7 +83,7 @@ def _fresh(name: str, base: str) -> tuple[str, str]:
 
 def _point(spark: SparkSession, name: str, snapshot: str) -> None:
     """Show a snapshot under the published name."""
-    if _is_view(spark, name):
+    if current_snapshot(spark, name) is not None:
         spark.sql(f"ALTER VIEW {_quoted(name)} AS SELECT * FROM {_quoted(snapshot)}")
         return
     # The name's first snapshot; a plain table of that name makes way for it.
@@ -102,22 +116,19 @@ def publish_swap(
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
+    names = _described(spark, table).partitionColumnNames()
+    return [names.apply(i) for i in range(names.size())]
 
 
 def partition_locations(spark: SparkSession, table: str) -> dict[Spec, str]:
     """Where the files of each partition of a table lie, as the catalog has it."""
-    session = spark._jsparkSession
-    catalog = session.sessionState().catalog()
-    identifier = session.sessionState().sqlParser().parseTableIdentifier(_quoted(table))
+    catalog, identifier = _catalog(spark, table)
     names = partition_columns(spark, table)
     found, rows = {}, catalog.listPartitions(identifier, spark._jvm.scala.Option.empty())
     for i in range(rows.size()):
         partition = rows.apply(i)
         spec = partition.spec()
-        # As a path; the text of the URI would be escaped once more.
-        path = spark._jvm.org.apache.hadoop.fs.Path(partition.location())
-        found[tuple((name, spec.apply(name)) for name in names)] = path.toString()
+        found[tuple((name, spec.apply(name)) for name in names)] = _path(spark, partition.location())
     return found
 
 
@@ -168,7 +179,7 @@ def replace_partitions(
         return []
     rows = spark.read.table(current)
     changed = change(rows.filter(_in_partitions(partitions, names))).select(*rows.columns)
-    fmt = _provider(spark, current)
+    fmt = _described(spark, current).provider().get()
     snapshot, path = _fresh(name, base)
     write_table(changed, path, mode="errorifexists", fmt=fmt, partition_by=names)
     register_table(spark, snapshot, path, fmt, schema=rows.schema, partition_by=names)
@@ -244,7 +255,7 @@ def expire(spark: SparkSession, name: str, keep: int) -> list[str]:
     live = {location for table in kept for location in _locations(spark, table)}
     roots = {_root(location) for location in live}
     for table in gone:
-        for location in {*_locations(spark, table), _describe(spark, table, "Location")} - live:
+        for location in {*_locations(spark, table), _root_of(spark, table)} - live:
             # The whole snapshot's folder, unless a later one has taken over some of it.
             root = _root(location)
             if root not in roots:
@@ -261,15 +272,12 @@ def _root(location: str) -> str:
     return found.group(0) if found else location
 
 
-def _describe(spark: SparkSession, table: str, name: str) -> str:
-    rows = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:table)", args={"table": table})
-    found = rows.filter(F.col("col_name") == name).first()["data_type"]
-    # A location is told as a URI; folders are named without special characters but by partitions.
-    return re.sub("^file:/+", "/", found) if name == "Location" else found
+def _root_of(spark: SparkSession, table: str) -> str:
+    return _path(spark, _described(spark, table).location())
 
 
 def _locations(spark: SparkSession, table: str) -> list[str]:
     """The folders that hold a snapshot's files."""
     if partition_columns(spark, table):
-        return [re.sub("^file:/+", "/", x) for x in partition_locations(spark, table).values()]
-    return [_describe(spark, table, "Location")]
+        return list(partition_locations(spark, table).values())
+    return [_root_of(spark, table)]
