@@ -12,8 +12,10 @@ every suffix of a corpus would move it many times, so it is done in two steps:
    sorts the suffixes of what it gets by the difference-cover algorithm, compares
    neighbours and keeps the earliest of each group of equal windows.
 
-An anchor with very many surroundings is dealt out further by the bytes next to it, in
-bands of windows that reach about as far to the left, and copies within a band collapse.
+The windows of an anchor with very many surroundings, as at the edges of a passage that very many
+documents share, would be one group. They are dealt out one by one, by 64-bit hashes of
+their bytes; the least place of each hash is found by a minimum that combines in the map
+tasks, so neither the anchor nor a window that recurs everywhere gathers in one task.
 """
 
 from __future__ import annotations
@@ -39,20 +41,22 @@ from siltworks.llm.blobs import (
 )
 from siltworks.llm.suffixes import equal_prefixes, suffix_array
 from siltworks.llm.winnow import Anchors
-from siltworks.llm.words import _BYTE_VALUES, mix, prefix_hash, span_hash
+from siltworks.llm.words import _BYTE_VALUES, prefix_hash, span_hash
 from siltworks.staging import settle
 
 WINDOW = 100
 # Text bytes of a block, of what a range of anchors answers for, and of a suffix sort, about.
-BLOCK_TEXT = 12 << 20
-RANGE_TEXT = 24 << 20
-SORT_TEXT = 6 << 20
-# Surroundings of an anchor above which its windows are dealt out in bands.
+BLOCK_TEXT = 4 << 20
+RANGE_TEXT = 8 << 20
+SORT_TEXT = 1 << 20
+# Surroundings of an anchor above which its windows are dealt out one by one.
 HOT_ANCHOR = 4096
 PIECE = 1 << 19
+# The part of windows that are dealt out one by one.
+ALONE = -1
 
-# Answers: nothing repeats, everything does, to be sorted, to be sorted in bands.
-UNIQUE, REPEATED, SORTED, BANDED = 0, 1, 2, 3
+# Answers: nothing repeats, everything does, to be sorted, to be dealt out one by one.
+UNIQUE, REPEATED, SORTED, SINGLE = 0, 1, 2, 3
 
 
 class Places:
@@ -147,7 +151,7 @@ def _answers(hot: int):
         new = new_hash | np.append(True, x[1:] != x[:-1])
         number = np.cumsum(new_hash) - 1
         surroundings = np.bincount(number, new)[number]
-        code = np.where(surroundings == 1, UNIQUE, np.where(surroundings <= hot, SORTED, BANDED))
+        code = np.where(surroundings == 1, UNIQUE, np.where(surroundings <= hot, SORTED, SINGLE))
         code = np.where(new, code, REPEATED).astype(np.uint8)
         codes = np.empty(len(order), np.uint8)
         codes[order] = code
@@ -172,65 +176,96 @@ def _codes(table: pa.Table) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.uint8), *(unpack(c, np.uint8) for _, c in found)])
 
 
-def _bands(reach: int) -> list[tuple[int, int]]:
-    """Ranges of how far windows reach to the left of an anchor: 0, 1, 2-3, 4-7, ..."""
-    edges = [0, 1]
-    while edges[-1] <= reach:
-        edges.append(edges[-1] * 2)
-    return [(a, min(b - 1, reach)) for a, b in zip(edges, edges[1:]) if a <= reach]
+_ITEMS = ["part", "block", "key", "row", "first", "count", "texts"]
+_ITEM = "part int, block long, key binary, row binary, first binary, count binary, texts binary"
 
 
-def _items(text: bytes, route: int, place: int, first: int, count: int, banded: bool, window: int):
-    """Ranges of windows of an anchor, with the hash by which they are dealt out."""
-    if not banded:
-        yield route, first, count
-        return
-    for least, most in _bands(window - window // 2):
-        low, high = max(first, place - most), min(first + count - 1, place - least)
-        if low <= high:
-            # All windows of the band hold these bytes.
-            shared = np.frombuffer(text, np.uint8)[place - least : place - most + window]
-            value = span_hash(prefix_hash(_BYTE_VALUES[shared]), np.array([0]), np.array([len(shared)]))
-            yield int(mix(value + np.uint64(least))[0]), low, high - low + 1
+def _single_windows(texts: list[bytes], row: np.ndarray, first: np.ndarray, count: np.ndarray, window: int):
+    """Row, place and hash of every window of some anchors."""
+    rows = np.repeat(row, count)
+    places = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    hashes = np.zeros(len(rows), np.uint64)
+    for text in np.unique(row).tolist():
+        own = np.flatnonzero(rows == text)
+        data = np.frombuffer(texts[text], np.uint8)
+        for low in range(int(places[own].min()), int(places[own].max()) + 1, PIECE):
+            some = own[(places[own] >= low) & (places[own] < low + PIECE)]
+            sums = prefix_hash(_BYTE_VALUES[data[low : low + PIECE + window]])
+            hashes[some] = span_hash(sums, places[some] - low, places[some] - low + window)
+    return rows, places, hashes
 
 
 def _to_sort(window: int, parts: int):
-    names = ["part", "block", "key", "row", "first", "count", "texts"]
-
     def extract(left: pa.Table, right: pa.Table) -> pa.Table:
-        codes, out = _codes(right), [[] for _ in names]
-        for row in left.to_pylist():
+        codes, out = _codes(right), [[] for _ in _ITEMS]
+
+        def add(part: int, block: int, columns: list[np.ndarray], content: bytes) -> None:
+            packed = [pack(np.ascontiguousarray(column)) for column in columns]
+            for to, value in zip(out, [part, block, *packed, content]):
+                to.append(value)
+
+        for at in range(left.num_rows):
+            row = left.slice(at, 1).to_pylist()[0]
             texts = block_texts(row)
             found = Places(texts, _keys(row), window)
-            wanted = np.flatnonzero(found.at_head & (codes[found.entry] >= SORTED))
-            items: list[tuple] = []
-            for i in wanted.tolist():
-                text, entry = texts[found.row[i]], found.entry[i]
-                for route, first, count in _items(
-                    text, int(found.hashes[entry]), int(found.place[i]), int(found.first[i]),
-                    int(found.count[i]), codes[entry] == BANDED, window,
-                ):
-                    items.append((route, found.key[i], found.row[i], first, count))
-            if not items:
-                continue
-            route = np.array([item[0] for item in items], np.uint64)
-            rest = np.array([item[1:] for item in items], np.int64)
-            of = hash_range(route, parts)
+            code = np.where(found.at_head, codes[found.entry], UNIQUE)
+            wanted = np.flatnonzero(code == SORTED)
+            of = hash_range(found.hashes[found.entry[wanted]], parts)
             order = np.argsort(of, kind="stable")
             cuts = np.flatnonzero(np.diff(of[order])) + 1
-            for some in np.split(order, cuts):
-                own = rest[some]
+            for some in np.split(order, cuts) if len(order) else []:
+                own = wanted[some]
+                columns = [found.key[own], found.row[own], found.first[own], found.count[own]]
                 pieces = b"".join(
                     texts[r][first : first + count + window - 1]
-                    for r, first, count in own[:, 1:].tolist()
+                    for r, first, count in zip(*(c.tolist() for c in columns[1:]))
                 )
-                values = [int(of[some[0]]), row["block"], *(pack(np.ascontiguousarray(c)) for c in own.T), pack_bytes(pieces)]
-                for to, value in zip(out, values):
-                    to.append(value)
+                add(int(of[some[0]]), row["block"], columns, pack_bytes(pieces))
+            alone = np.flatnonzero(code == SINGLE)
+            if len(alone):
+                rows, places, hashes = _single_windows(
+                    texts, found.row[alone], found.first[alone], found.count[alone], window
+                )
+                keys = np.array(_keys(row), np.int64)[rows]
+                add(ALONE, row["block"], [keys, rows, places, np.ones(len(rows), np.int64)], pack(hashes))
         types = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
-        return table_of({n: (c, t) for n, c, t in zip(names, out, types)})
+        return table_of({n: (c, t) for n, c, t in zip(_ITEMS, out, types)})
+
+    return extract
+
+
+_FLAGS = "block long, row binary, first binary, count binary, flags binary"
+
+
+def _alone(items: DataFrame) -> DataFrame:
+    """Which of the windows dealt out one by one recur, as the sort tells it of the others."""
+
+    def windows(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                columns = [unpack(row[name], np.int64) for name in ("key", "row", "first")]
+                hashes = unpack(row["texts"], np.int64)
+                block = np.full(len(hashes), row["block"], np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (hashes, columns[0], block, *columns[1:])],
+                    names=["hash", "key", "block", "row", "first"],
+                )
+
+    def flags(table: pa.Table) -> pa.Table:
+        rows, first = (table[name].to_numpy() for name in ("row", "first"))
+        ones = np.ones(len(rows), np.int64)
+        values = {"row": rows, "first": first, "count": ones, "flags": ones.astype(np.uint8)}
+        return table_of(
+            {"block": ([table["block"][0].as_py()], pa.int64())}
+            | {name: ([pack(np.ascontiguousarray(x))], pa.binary()) for name, x in values.items()}
+        )
 
-    return extract, "part int, block long, key binary, row binary, first binary, count binary, texts binary"
+    found = settle(items.mapInArrow(windows, "hash long, key long, block long, row long, first long"), "alone")
+    place = F.struct("key", "block", "row", "first")
+    least = found.groupBy("hash").agg(F.min(place).alias("head"), F.count("*").alias("n")).filter("n > 1")
+    again = found.join(least, "hash").filter(place != F.col("head"))
+    return again.select("block", "row", "first").groupBy("block").applyInArrow(flags, _FLAGS)
 
 
 def _sorted(window: int):
@@ -277,7 +312,7 @@ def _sorted(window: int):
             at = end
         return table_of({n: (c, pa.int64() if n == "block" else pa.binary()) for n, c in out.items()})
 
-    return sort, "block long, row binary, first binary, count binary, flags binary"
+    return sort
 
 
 def _runs(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
@@ -377,10 +412,12 @@ def repeated_spans(
         "part int, block long, " + ", ".join(f"{name} binary" for name in _ASKED),
     )
     answers = settle(asked.groupBy("part").applyInArrow(_answers(hot_anchor), _ANSWER), "answers")
-    extract, item_schema = _to_sort(window, sorts)
-    items = packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(extract, item_schema)
-    sort, flag_schema = _sorted(window)
-    flags = settle(items.groupBy("part").applyInArrow(sort, flag_schema), "flags")
+    extract = _to_sort(window, sorts)
+    dealt = packed.groupBy("block").cogroup(answers.groupBy("block"))
+    items = settle(dealt.applyInArrow(extract, _ITEM), "items")
+    sorted_items = items.filter(F.col("part") != ALONE).groupBy("part")
+    flags = sorted_items.applyInArrow(_sorted(window), _FLAGS)
+    flags = settle(flags.unionByName(_alone(items.filter(F.col("part") == ALONE))), "flags")
     finish, schema = _finished(window, T.LongType())
     found = answers.unionByName(flags, allowMissingColumns=True)
     done = packed.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(finish, schema)

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from siltworks.llm import repeats, simhash
 from siltworks.llm.components import components
@@ -136,13 +137,39 @@ def repeated_rows():
 @pytest.mark.parametrize("hot", [repeats.HOT_ANCHOR, 1])
 @pytest.mark.parametrize("small", [False, True])
 def test_repeats(spark, hot, small, monkeypatch):
+    monkeypatch.setattr(repeats, "PIECE", 700)
     rows = repeated_rows()
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    docs = docs.withColumns({name: F.lit(name) for name in ("N_BYTES", "spans", "block", "keys", "_key", "part")})
     options = {"block_bytes": 3000, "range_bytes": 2000, "sort_bytes": 1000} if small else {}
     found = repeats.repeated_spans(docs, hot_anchor=hot, **options).drop("spans")
     assert as_multiset(found.collect()) == as_multiset(plain_repeats(rows, 100))
 
 
+def test_hot_passage(spark, monkeypatch):
+    """Windows of an anchor with very many surroundings are dealt out one by one."""
+    passage = invented(9, 30)
+    rows = [(i, f"{i * 7919} {invented(1000 + i, 6)} {passage} {invented(5000 + i, 6)}", None, None, None) for i in range(1500)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    sizes = spark.sparkContext.accumulator(0)
+    plain = repeats._sorted
+
+    def noted(window):
+        sort = plain(window)
+
+        def counted(table):
+            sizes.add(sum(len(repeats.unpack_bytes(x)) for x in table["texts"].to_pylist()))
+            return sort(table)
+
+        return counted
+
+    monkeypatch.setattr(repeats, "_sorted", noted)
+    found = repeats.repeated_spans(docs, hot_anchor=50, block_bytes=20_000).drop("spans")
+    assert as_multiset(found.collect()) == as_multiset(plain_repeats(rows, 100))
+    # Only anchors with few surroundings are left to the sort.
+    assert sizes.value < sum(len(row[1]) for row in rows) / 4
+
+
 def test_pieces_of_a_long_text(spark):
     """A text read in pieces has the anchors of the whole."""
     from siltworks.llm.winnow import Anchors
