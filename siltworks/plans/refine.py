@@ -19,6 +19,7 @@ from siltworks.operators.filters import non_blank
 from siltworks.operators.joins import replace_with_key
 from siltworks.operators.keys import dense_key
 from siltworks.operators.status import LOADED, QUARANTINED, apply_status
+from siltworks.plans.checks import ObservedState
 from siltworks.plans.spec import Spec
 from siltworks.session import sized_session
 from siltworks.sources.documents import read_landing
@@ -157,6 +158,7 @@ def refine(
     corrupt_column: str = "_unparsed",
     keep_snapshots: int = 2,
     expansion: float = 1.0,
+    state: ObservedState | None = None,
 ) -> dict[str, str]:
     """Load a landing folder into a database of bronze and silver tables.
 
@@ -164,7 +166,8 @@ def refine(
     of each stay on storage. Returns the qualified table names by role. Bronze as it
     arrives is staged; every table is published once. Documents without the array, such as
     those that cannot be parsed, are in the table ``unreadable``; with ``mode="FAILFAST"``
-    they fail the load. ``expansion`` is what compressed documents expand to.
+    they fail the load. ``expansion`` is what compressed documents expand to. ``state`` takes the
+    counts of the end-state checks as the tables are written.
     """
     # Dropping a database clears its own folder, so that holds no table.
     ensure_database(spark, database, f"{root.rstrip('/')}/database")
@@ -184,6 +187,7 @@ def refine(
     def save(df: DataFrame, role: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         # A catalog keeps a location per partition, so a partitioned table changes over as a view.
         sink = publish_swap if partition_by else publish
+        df = state.watch(df, role) if state else df
         sink(df, tables[role], paths[role], fmt, partition_by, keep_snapshots)
         return own.read.table(tables[role])
 

@@ -6,10 +6,11 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from siltworks.operators import changes, keys, ledger
-from siltworks.plans import increment, updates
-from siltworks.sources import documents, listing, snapshots, tables
+from siltworks.operators import changes, columns, keys, ledger
+from siltworks.plans import checks, increment, refine, updates
+from siltworks.sources import documents, listing, snapshots, variants
 from siltworks.staging import settle, staged_path
+from siltworks.streaming import landing, refresh
 from workload.bronze import SPEC, bronze, table
 from workload.queries import ROWS_PER_DOCUMENT, _in_database, query
 
@@ -133,3 +134,47 @@ def incremental_refresh(spark, sf_dir):
         .union(layers.read("tag").select(F.lit("tag"), "id", "name"))
         .union(layers.read("bridge").select(F.lit("bridge"), "movieid", F.col("genreid").cast("string")))
     )
+
+
+@query
+def checks_observed(spark, sf_dir):
+    """The end-state checks, counted while the tables are written."""
+    rows, state = bronze(spark, sf_dir), checks.ObservedState(SPEC)
+    languages = settle(refine.attribute_dimension(rows, SPEC))
+    settle(state.watch(refine.silver(rows, languages, SPEC), "silver"))
+    settle(state.watch(refine.final_status(rows, SPEC), "bronze"))
+    settle(state.watch(refine.tag_dimension(rows, SPEC), "tag"))
+    return state.counts(spark)
+
+
+@query
+def json_variant(spark, sf_dir):
+    """Orders in files of two layouts: prices as numbers or texts, with and without a note."""
+    path = staged_path(spark, "orders")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    orders.filter("o_orderkey % 2 = 0").write.json(path)
+    other = orders.filter("o_orderkey % 2 = 1").select(
+        "o_orderkey", F.col("o_totalprice").cast("string").alias("o_totalprice"),
+        F.struct(F.col("o_orderstatus").alias("state")).alias("note"),
+    )
+    other.write.mode("append").json(path)
+    return variants.typed(
+        variants.read_variant(spark, path),
+        {"o_orderkey": "bigint", "o_totalprice": "double", "o_orderstatus": "string", "state": ("$.note.state", "string")},
+    )
+
+
+@query
+def stream_silver(spark, sf_dir):
+    """Silver of a landing stream, a load for each of its batches."""
+    rows = columns.expand_struct(bronze(spark, sf_dir), "value", keep=False)
+    packed = documents.documents_of(rows, "movie", ROWS_PER_DOCUMENT, ["Id"], replayable=True)
+    source = staged_path(spark, "landing")
+    packed.drop("document").write.json(source)
+    layers = increment.Layers(spark, staged_path(spark, "layers"), _in_database(spark, "stream").replace(".", "_"), SPEC)
+    stream = landing.stream_landing(
+        spark, source, packed.select("movie").schema, name_glob="part-*", multi_line=False
+    )
+    refresh.refine_available(stream, layers, "movie", "derived", staged_path(spark, "progress")).awaitTermination()
+    named = layers.read("silver").join(layers.read("attribute"), F.col(SPEC.attribute) == F.col(SPEC.attribute_key))
+    return named.select("Id", "Budget", "RunTime", SPEC.attribute_name, "CreatedDate")

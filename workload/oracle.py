@@ -156,6 +156,10 @@ PLAIN = {
     "q_inventory": """
         SELECT lang, 'txt' AS type, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes
         FROM documents GROUP BY lang""",
+    "q_json_variant": """
+        SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS o_orderstatus,
+            CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS state
+        FROM orders""",
     "q_inventory_all": """
         SELECT 'by language/lang=' || lang AS folder, 0 AS hidden, CAST(0 AS BIGINT) AS n_empty,
             CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes
@@ -368,6 +372,9 @@ LAYERED = {
         FROM (SELECT DISTINCT id, name FROM tag)
         UNION ALL SELECT 'movie_genre', moviegenreid, movieid || '-' || genreid, 'loaded' FROM bridge
         UNION ALL SELECT 'language', languageid, language, 'loaded' FROM language""",
+    "q_stream_silver": """
+        SELECT "Id", "Budget", "RunTime", language, "CreatedDate"
+        FROM silver JOIN language ON "OriginalLanguage" = languageid""",
     "q_incremental_refresh": """
         SELECT 'bronze' AS layer, "Id", status FROM finished
         UNION ALL
@@ -383,5 +390,9 @@ LAYERED = {
 }
 
 
+# The same counts, taken in another way.
+LAYERED["q_checks_observed"] = LAYERED["q_checks"]
+
+
 def all_sql() -> dict[str, str]:
     return {**PLAIN, **{name: LAYERS + sql for name, sql in LAYERED.items()}}
