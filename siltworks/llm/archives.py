@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -34,8 +35,13 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 NO_DATE = "19960101000000"
 WARC_END = "\r\n\r\n"
 ID_HEADER = b"X-Page-Id"
+HEAD_END = re.compile(rb"\r\n\r\n")
+# A field of our own: a revisit has no payload to measure.
+LENGTH_FIELD = "X-Payload-Length"
+HTTP = "application/http; msgtype=response"
+UNKNOWN_TYPE = "application/octet-stream"
 
-_RECORD = "page_id long, url string, ip string, date string, record_id string, digest string, payload_bytes long"
+_RECORD = "page_id long, url string, ip string, date string, record_id string, digest string, payload_bytes long, content_type string"
 
 
 def arc_header(version: int, **fields) -> bytes:
@@ -94,11 +100,10 @@ def arc_records(data: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
 
 def http_parts(block: memoryview) -> tuple[list[bytes], memoryview]:
     """Header lines and payload of an HTTP response; all of any other block is payload."""
-    head = bytes(block[: 1 << 16])
-    end = head.find(b"\r\n\r\n")
-    if not head.startswith(b"HTTP/") or end < 0:
+    end = HEAD_END.search(block) if block[:5] == b"HTTP/" else None
+    if end is None:
         return [], block
-    return head[:end].split(b"\r\n"), block[end + 4 :]
+    return bytes(block[: end.start()]).split(b"\r\n"), block[end.end() :]
 
 
 def header(lines: list[bytes], name: bytes) -> str | None:
@@ -199,7 +204,7 @@ def _arc_rows(files: DataFrame, with_block: bool) -> DataFrame:
                     row = [
                         int(id_) if id_ is not None else None, fields["url"], fields["ip"],
                         warc_date(fields["date"]), f"<urn:uuid:{made}>", base32_sha1(payload),
-                        len(payload),
+                        len(payload), HTTP if lines else _media_type(fields["type"]),
                     ]
                     if with_block:
                         head = bytes(block[: len(block) - len(payload)])
@@ -218,13 +223,19 @@ def _arc_rows(files: DataFrame, with_block: bool) -> DataFrame:
 _TYPES = {
     "page_id": pa.int64(), "url": pa.string(), "ip": pa.string(), "date": pa.string(),
     "record_id": pa.string(), "digest": pa.string(), "payload_bytes": pa.int64(),
+    "content_type": pa.string(),
     "block_digest": pa.string(), "head_digest": pa.string(), "head": pa.binary(),
     "payload": pa.binary(),
 }
 
 
+def _media_type(declared: str) -> str:
+    """The type that an ARC header line declares, where it is one."""
+    return declared if re.fullmatch(r"[\w.+-]+/[\w.+;=-]+", declared) else UNKNOWN_TYPE
+
+
 def _batch(rows: list[list], with_block: bool) -> pa.RecordBatch:
-    names = list(_TYPES)[: len(_TYPES) if with_block else 7]
+    names = list(_TYPES)[: len(_TYPES) if with_block else 8]
     columns = list(zip(*rows)) if rows else [[] for _ in names]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, _TYPES[n]) for c, n in zip(columns, names)], names=names
@@ -236,7 +247,8 @@ def arc_to_warc(
 ) -> None:
     """Convert the ARC files below ``arc`` to WARC files below ``warc``.
 
-    Of records with equal payloads of at least ``least_bytes`` bytes, the one with the largest
+    A record of an HTTP response is a ``response`` or a ``revisit``. Any other, such as a DNS
+    answer, is a ``resource`` with the content type of its ARC header line. Of responses with equal payloads of at least ``least_bytes`` bytes, the one with the largest
     page id (then record id; null ids come first) is a response and the others revisit it.
     Smaller payloads are all responses. Only payloads that occur twice enter the join.
     """
@@ -244,7 +256,7 @@ def arc_to_warc(
     place = F.struct("page_id", "record_id", "date")
     kept = settle(
         _arc_rows(files, with_block=False)
-        .filter(F.col("payload_bytes") >= least_bytes)
+        .filter((F.col("payload_bytes") >= least_bytes) & (F.col("content_type") == HTTP))
         .groupBy("digest", "payload_bytes")
         .agg(F.max(place).alias("kept"), F.count("*").alias("copies"))
         .filter("copies > 1")
@@ -252,8 +264,9 @@ def arc_to_warc(
         "repeated_payloads",
     )
     rows = _arc_rows(files, with_block=True)
+    http = rows["content_type"] == HTTP
     rows = rows.join(
-        kept, (rows["digest"] == kept["_digest"]) & (rows["payload_bytes"] >= least_bytes), "left"
+        kept, (rows["digest"] == kept["_digest"]) & (rows["payload_bytes"] >= least_bytes) & http, "left"
     )
     revisit = F.coalesce(F.col("kept.record_id") != F.col("record_id"), F.lit(False))
     block_bytes = F.length("head") + F.when(revisit, 0).otherwise(F.length("payload"))
@@ -263,7 +276,7 @@ def arc_to_warc(
 
     head = F.concat(
         F.lit("WARC/1.1\r\n"),
-        line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
+        line("WARC-Type", F.when(revisit, "revisit").when(http, "response").otherwise("resource")),
         line("WARC-Record-ID", F.col("record_id")),
         line("WARC-Date", F.col("date")),
         line("WARC-Target-URI", F.col("url")),
@@ -278,7 +291,8 @@ def arc_to_warc(
                 line("WARC-Refers-To-Date", F.col("kept.date")),
             ),
         ).otherwise(""),
-        line("Content-Type", F.lit("application/http; msgtype=response")),
+        line(LENGTH_FIELD, F.col("payload_bytes").cast("string")),
+        line("Content-Type", F.col("content_type")),
         line("Content-Length", block_bytes.cast("string")),
         F.lit("\r\n"),
     )
@@ -294,7 +308,8 @@ def arc_to_warc(
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Records of WARC files: identifiers, type, digest and payload size.
 
-    Digests of responses are computed from the payload and must equal the declared ones.
+    A revisit's payload size is that of the field ``X-Payload-Length``; archives of other writers
+    give it by the HTTP header, if at all. Digests of other records are computed from the payload and must equal the declared ones.
     """
 
     def parse(batches):
@@ -307,7 +322,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     digest = headers["warc-payload-digest"].removeprefix("sha1:")
                     size = len(payload)
                     if kind == "revisit":
-                        size = int(header(lines, b"Content-Length") or 0)
+                        size = int(headers.get(LENGTH_FIELD.lower()) or header(lines, b"Content-Length") or 0)
                     elif base32_sha1(payload) != digest:
                         raise ValueError(f"wrong payload digest in {headers['warc-record-id']}")
                     id_ = header(lines, ID_HEADER)

@@ -103,6 +103,35 @@ def test_no_pages(spark):
     assert archives.archived(pages).count() == 0
 
 
+def test_foreign_records(spark, tmp_path):
+    """DNS answers, HTTP heads without a length and longer than any buffer, and undeclared types."""
+    body = b"same body" * 30
+    heads = {
+        b"1": b"HTTP/1.1 200 OK\r\nX-Page-Id: 1\r\nTransfer-Encoding: chunked",
+        b"2": b"HTTP/1.0 200 OK\r\nX-Page-Id: 2\r\nX-Long: " + b"l" * 100_000,
+    }
+    blocks = [(f"http://a/{k.decode()}", "text/html", head + b"\r\n\r\n" + body) for k, head in heads.items()]
+    blocks += [
+        ("dns:a.example", "text/dns", b"20010203040506\na.example. 60 IN A 192.0.2.1"), ("ftp://a/x", "no-type", body),
+        ("ftp://a/y", "-", body), ("http://a/3", "text/html", b"HTTP/1.1 200 OK without an end"),
+    ]
+    data = archives.arc_version_block(1, "f.arc") + b"\n"
+    for url, kind, block in blocks:
+        data += archives.arc_header(1, url=url, ip="192.0.2.1", date="2001", type=kind, length=len(block)) + b"\n" + block + b"\n"
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / "f.arc").write_bytes(data)
+    archives.arc_to_warc(spark, str(tmp_path / "arc"), str(tmp_path / "warc"))
+    records = [r for f in (tmp_path / "warc").glob("part-*") for r in archives.warc_records(archives._unpacked(f.read_bytes()))]
+    found = {h["warc-target-uri"]: (h["warc-type"], h["content-type"], bytes(b)) for h, b in records}
+    assert found["dns:a.example"] == ("resource", "text/dns", blocks[2][2])
+    assert found["ftp://a/x"] == found["ftp://a/y"] == ("resource", archives.UNKNOWN_TYPE, body)
+    assert found["http://a/3"][0] == "resource" and found["http://a/2"][:2] == ("response", archives.HTTP)
+    read = {r["page_id"]: r for r in archives.read_warc(spark, str(tmp_path / "warc")).collect() if r["page_id"]}
+    assert (read[1]["record_type"], read[1]["payload_bytes"]) == ("revisit", len(body))
+    assert (read[2]["record_type"], read[2]["payload_bytes"]) == ("response", len(body))
+    assert read[1]["payload_digest"] == read[2]["payload_digest"] == archives.base32_sha1(body)
+
+
 def test_arc_headers():
     body = b"abc"
     data = archives.arc_version_block(2, "f.arc") + b"\n"
