@@ -46,6 +46,9 @@ NEEDS = {
     "endpoint": [["identifier"], ["secret"]],
 }
 SCOPE = 256
+# Values joined as one, and code points of a text cut as one.
+CHUNK = 64
+CUT = 4096
 MASK = "[SECRET]"
 RESULTS = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "secret_spans"]
 
@@ -63,20 +66,60 @@ def matches(text: Column, pattern: str, rank: int, least: Column | None = None)
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"),
         *([least.alias("value")] if least is not None else []),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found"))
 
-    def step(acc, x):
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.coalesce(F.length(x["match"]), F.lit(0))
-        keep = F.length(x["value"]) >= 12 if least is not None else F.lit(True)
-        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"))
-        found = F.when(
-            x["match"].isNotNull() & keep, F.array_append(acc["found"], span)
-        ).otherwise(acc["found"])
-        return F.struct(end.alias("at"), found.cast(_SPAN).alias("found"))
+    def span(x: Column, size: Column, start: Column) -> Column:
+        keep = x["match"].isNotNull()
+        if least is not None:
+            keep = keep & (F.length(x["value"]) >= 12)
+        end = start + size
+        begin = end - F.length(x["match"])
+        return F.when(keep, F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end")))
+
+    def spans(parts: Column) -> Column:
+        def listed(sizes: Column, starts: Column) -> Column:
+            all_of = F.transform(parts, lambda x, i: span(x, F.get(sizes, i), F.get(starts, i)))
+            return F.filter(all_of, lambda x: x.isNotNull())
+
+        lengths = F.transform(
+            parts, lambda x: F.length(x["gap"]) + F.coalesce(F.length(x["match"]), F.lit(0))
+        )
+        return let(
+            lengths,
+            lambda sizes: let(
+                before(sizes, F.lit(0), lambda a, x: a + x), lambda starts: listed(sizes, starts)
+            ),
+        )
+
+    return F.when(F.rlike(text, F.lit(pattern)), let(zipped, spans).cast(_SPAN)).otherwise(F.array().cast(_SPAN))
+
+
+def before(values: Column, zero: Column, join) -> Column:
+    """For each value of an array that is not empty, all values before it joined.
+
+    ``values`` is a lambda variable; an expression would be computed anew for each value.
+    Values are joined in chunks, chunks before a value's own as a whole, so that the steps grow
+    little faster than the array.
+    """
 
-    all_of = F.aggregate(zipped, start, step, lambda acc: acc["found"])
-    return F.when(F.rlike(text, F.lit(pattern)), all_of).otherwise(F.array().cast(_SPAN))
+    def within(chunks: Column) -> Column:
+        ahead = F.transform(chunks, lambda _, c: F.aggregate(F.slice(chunks, 1, c), zero, join))
+
+        def places(start: Column) -> Column:
+            def place(_, i):
+                chunk = F.floor(i / CHUNK).cast("int")
+                own = F.slice(values, chunk * CHUNK + 1, i - chunk * CHUNK)
+                return F.aggregate(own, F.get(start, chunk), join)
+
+            return F.transform(values, place)
+
+        return let(ahead, places)
+
+    number = F.floor((F.size(values) - 1) / CHUNK).cast("int")
+    sums = F.transform(
+        F.sequence(F.lit(0), number),
+        lambda c: F.aggregate(F.slice(values, c * CHUNK + 1, CHUNK), zero, join),
+    )
+    return let(sums, within)
 
 
 def _longer(spans: Column, least: int) -> Column:
@@ -237,20 +280,36 @@ def redacted(
     body = F.col(own[at])
     found = _found(docs.toDF(*own), own[at], own, scope)
 
-    def step(acc, x):
-        gap = F.substring(body, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0)))
-        inside = x["start"] < acc["at"]
-        return F.struct(
-            F.greatest(acc["at"], x["end"]).alias("at"),
-            F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], gap, F.lit(mask))).alias("out"),
+    def between(cuts: Column, start: Column, end: Column) -> Column:
+        """A range of the text, from its cuts of equal length, so that no step counts from its start."""
+        first, last = F.floor(start / CUT).cast("int"), F.floor(end / CUT).cast("int")
+        inside = start - first * CUT + 1
+        joined = F.concat(
+            F.substring(F.get(cuts, first), inside, F.lit(CUT)),
+            F.array_join(F.slice(cuts, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+            F.coalesce(F.substring(F.get(cuts, last), F.lit(1), end - last * CUT), F.lit("")),
         )
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    cut = F.aggregate(
-        "_spans",
-        start,
-        step,
-        lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.length(body))),
+        short = F.substring(F.get(cuts, first), inside, end - start)
+        return F.when(end <= start, "").when(first == last, short).otherwise(joined)
+
+    def masked(cuts: Column, reached: Column) -> Column:
+        """``reached`` is where the spans before each have ended."""
+
+        def part(x, i):
+            gap = between(cuts, F.get(reached, i), x["start"])
+            return F.when(x["start"] >= F.get(reached, i), F.concat(gap, F.lit(mask))).otherwise("")
+
+        last = F.aggregate("_spans", F.lit(0), lambda a, x: F.greatest(a, x["end"]))
+        parts = F.array_join(F.transform("_spans", part), "")
+        return F.concat(parts, between(cuts, last, F.length(body)))
+
+    ends = F.transform("_spans", lambda x: x["end"])
+    cut = let(
+        F.regexp_extract_all(body, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0)),
+        lambda cuts: let(
+            let(ends, lambda values: before(values, F.lit(0), lambda a, x: F.greatest(a, x))),
+            lambda reached: masked(cuts, reached),
+        ),
     )
     value = F.when(F.size("_spans") > 0, cut).otherwise(body)
     return found.select(
