@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from siltworks.llm.frames import binary_texts, extended, without
 from siltworks.llm.words import Words, blocks, name_words, prefix_hash, span_hash
+from siltworks.staging import settle
 
 WINDOW = 13
 # Words of benchmark text in one broadcast, at most; a longer item is a block of its own.
@@ -187,7 +188,8 @@ def contamination(
     ahead = None
     for block in _benchmark_blocks(benchmark, item, item_text, block_words):
         if ahead is not None:
-            found = _scan(found, _TEXT, Windows(ahead, window), drop=False)
+            # Written, so that a task holds the windows of one block at a time.
+            found = settle(_scan(found, _TEXT, Windows(ahead, window), drop=False), "scanned")
         ahead = block
     found = _scan(found, _TEXT, Windows(ahead or [], window), drop=True)
     edges = F.col(_SPANS)
