@@ -26,7 +26,7 @@ HIDDEN = 32
 ATTENTION = 16
 # Labelled documents of either class that are learned from, about.
 SAMPLE_PER_CLASS = 3000
-# Passages of a sampled document that are learned from; all are scored.
+# Passages of a sampled document that are learned from, evenly spaced over it; all are scored.
 SAMPLED_PASSAGES = 48
 EPOCHS = 12
 BATCH = 32
@@ -167,10 +167,13 @@ def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed
 
 
 def sample(
-    docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, per_class: int
+    docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, per_class: int,
+    passages: int = SAMPLED_PASSAGES,
 ) -> tuple[list[np.ndarray], np.ndarray]:
     """Encoded passages of about ``per_class`` labelled documents of either class.
 
+    Of a document with more than ``passages`` as many, evenly spaced, so that what reaches the
+    driver is bounded in rows and in bytes.
     Chosen among the labels by hashes of their keys, before any text is read, so the join is
     with a bounded broadcast. Rows that are held out or without a label are not in it.
     """
@@ -201,8 +204,8 @@ def sample(
                 inputs, first = encoded(texts[start:end])
                 for row in range(end - start):
                     bag = inputs[first[row] : first[row + 1]]
-                    if len(bag) > SAMPLED_PASSAGES:
-                        bag = bag[np.linspace(0, len(bag) - 1, SAMPLED_PASSAGES).astype(int)]
+                    if len(bag) > passages:
+                        bag = bag[np.linspace(0, len(bag) - 1, passages).astype(int)]
                     keys.append(start + row)
                     bags.append(bag.astype(np.float16).tobytes())
             wanted = batch.column(batch.schema.get_field_index("_label"))
@@ -229,15 +232,17 @@ def quality(
     label: str = "quality",
     per_class: int = SAMPLE_PER_CLASS,
     threshold: float = THRESHOLD,
+    passages: int = SAMPLED_PASSAGES,
 ) -> DataFrame:
     """``docs`` with ``held_out``, ``score`` and ``predicted``, which replace columns of those names.
 
     The score is the probability of label 1 of the whole text, whose passages all count. A
     null or empty text is one empty passage. Without labels of both classes every score is
-    0.5. A null key counts as empty text in the split. Repeated rows stay.
+    0.5. A null key counts as empty text in the split. Repeated rows stay. The network learns from
+    about ``per_class`` labelled documents of either class, and of each from at most ``passages``.
     """
     kept = without(docs, RESULTS)
-    bags, wanted = sample(docs, labels, text, key, label, per_class)
+    bags, wanted = sample(docs, labels, text, key, label, per_class, passages)
     net = train(bags, wanted) if len(set(wanted.tolist())) == 2 else None
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
