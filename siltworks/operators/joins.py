@@ -66,10 +66,15 @@ def replace_with_key(
 ) -> DataFrame:
     """Replace a natural value by its dimension key, in place.
 
-    Rows whose value is null or not in the dimension disappear. ``dimension`` is a
-    written table with each natural value once.
+    Rows whose value is null or not in the dimension disappear. ``dimension`` holds each
+    natural value once. Its values and keys are written plainly first, so that a dimension
+    that compresses well is not taken for a small one.
     """
-    lookup = dimension.select(F.col(natural).alias("_natural"), F.col(key).alias("_key"))
+    lookup = settle(
+        dimension.select(F.col(natural).alias("_natural"), F.col(key).alias("_key")),
+        "lookup",
+        plain=True,
+    )
     return (
         df.join(lookup, df[column] == lookup["_natural"], "inner")
         .withColumn(column, F.col("_key"))
@@ -77,6 +82,11 @@ def replace_with_key(
     )
 
 
-def join_using(df: DataFrame, other: DataFrame, *columns: str) -> DataFrame:
-    """Inner join on shared columns, which appear once."""
-    return df.join(other, list(columns), "inner")
+def join_using(df: DataFrame, other: DataFrame, *columns: str, plain: bool = True) -> DataFrame:
+    """Inner join on shared columns, which appear once.
+
+    ``other`` is the smaller side and is written plainly first; not ``plain``, it is joined as
+    it is, for a table that is large anyway or plainly written.
+    """
+    side = settle(other, "side", plain=True) if plain else other
+    return df.join(side, list(columns), "inner")

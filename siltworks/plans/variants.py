@@ -30,8 +30,8 @@ def single_occurrence(
     """
     fit = where_all(records, *healthy, F.col(identifier).isNotNull())
     if unfiltered:
-        ids = settle(singletons(fit, identifier).select(identifier), "ids")
-        return join_using(ids, records, identifier)
+        ids = settle(singletons(fit, identifier).select(identifier), "ids", plain=True)
+        return join_using(ids, records, identifier, plain=False)
     # The only record of a group is any of its records, so no join back is needed
     # and an identifier with many records leaves one row per map task.
     rest = [c for c in records.columns if c.lower() != identifier.lower()]

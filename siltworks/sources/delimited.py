@@ -13,6 +13,7 @@ def read_tsv(
     schema: StructType | str,
     mode: str = "FAILFAST",
     corrupt_column: str | None = None,
+    blank_lines: bool = True,
 ) -> DataFrame:
     """Scan tab-separated files that have one header line and no quoting.
 
@@ -20,7 +21,8 @@ def read_tsv(
     columns are selected: column pruning is off because it would skip that check.
     With ``mode="PERMISSIVE"`` and a ``corrupt_column``, such lines are kept there.
     Empty text fields are empty strings. The CSV reader passes over lines of nothing but
-    blanks and tabs; they are read once more as text, and count like any other line.
+    blanks and tabs; they are read once more as text, and count like any other line. Without
+    ``blank_lines`` they are passed over and each file is read once.
     """
     reader = (
         spark.read.option("sep", "\t")
@@ -33,7 +35,8 @@ def read_tsv(
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     rows = reader.csv(path)
-    rows = rows.unionByName(_blank_lines(spark, path, rows.schema, mode, corrupt_column))
+    if blank_lines:
+        rows = rows.unionByName(_blank_lines(spark, path, rows.schema, mode, corrupt_column))
     texts = [
         field.name
         for field in rows.schema

@@ -160,6 +160,13 @@ def test_tsv_blank_lines_count(spark, tmp_path, line):
     assert len(dropped.collect()) == 2
 
 
+def test_tsv_read_once(spark, tmp_path):
+    (tmp_path / "p.tsv").write_text("h\th\th\th\th\na\tb\tc\td\te\n\t\t\t\t\n\n")
+    once = delimited.read_tsv(spark, str(tmp_path), PEOPLE, blank_lines=False)
+    assert rows(once) == [("a", "b", "c", "d", "e")]
+    assert once._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_tsv_line_of_empty_fields(spark, tmp_path):
     (tmp_path / "p.txt").write_text(TSV_HEADER + "\t \t\t\t\n")
     assert rows(delimited.read_tsv(spark, str(tmp_path), PEOPLE)) == [("", " ", "", "", "")]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from siltworks.operators.joins import is_in, not_in, replace_with_key
+from siltworks.operators.joins import is_in, join_using, not_in, replace_with_key
 from siltworks.operators.status import apply_status, merge_status, quarantined
 from siltworks.staging import settle
 
@@ -121,3 +121,21 @@ def test_replace_with_key(spark):
     found = replace_with_key(rows, "lang", languages, "language", "languageid", drop=["z", "absent"])
     assert found.dtypes == [("id", "int"), ("lang", "bigint")]
     assert [tuple(r) for r in found.collect()] == [(1, 2)]
+
+
+@pytest.mark.parametrize("size", [20, 5000])
+def test_dimensions_are_sized_by_their_values(spark, size):
+    """A dimension that compresses to nothing is broadcast only while its values are small."""
+    names = spark.range(4000).select(
+        F.concat(F.repeat(F.lit("x"), size), F.col("id").cast("string")).alias("name"), "id"
+    )
+    dimension = settle(names)
+    df = settle(names.withColumnRenamed("name", "value"), plain=True)
+    small = size * 4000 < 10 << 20
+    for joined in (
+        replace_with_key(df.select("value"), "value", dimension, "name", "id"),
+        join_using(df.drop("id").withColumnRenamed("value", "name"), dimension, "name"),
+    ):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == small and ("SortMergeJoin" in plan) != small
+        assert joined.count() == 4000

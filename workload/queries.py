@@ -508,7 +508,7 @@ def using_join(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     return joins.join_using(
         orders.select("o_orderkey", "o_totalprice"),
-        settle(single.withColumnRenamed("l_orderkey", "o_orderkey")),
+        single.withColumnRenamed("l_orderkey", "o_orderkey"),
         "o_orderkey",
     )
 
