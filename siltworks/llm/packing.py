@@ -29,8 +29,10 @@ from siltworks.staging import settle
 
 CAPACITY = 2048
 END = 0
-# Ranks within a length are counted in so many parts, so that no length is one group.
-RANK_PARTS = 64
+# Ranks within a length are counted in parts of at most about so many pieces, and a length of
+# which there are more than a few pieces in several, so that no length is one group.
+RANK_ROWS = 1_000_000
+FEW_ROWS, SOME_PARTS = 1024, 64
 
 RESULTS = ["piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"]
 
@@ -149,6 +151,10 @@ class Sweeps:
         return placed and bool(self.left)
 
 
+def _rank_parts(count: int) -> int:
+    return max(min(SOME_PARTS, -(-count // FEW_ROWS)), -(-count // RANK_ROWS))
+
+
 def packed(pieces: DataFrame, order: Sequence[str], capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``, by their column ``length``.
 
@@ -161,10 +167,12 @@ def packed(pieces: DataFrame, order: Sequence[str], capacity: int = CAPACITY) ->
     table = np.array(runs, np.int64).reshape(-1, 5)
     shared = pieces.sparkSession.sparkContext.broadcast(table)
 
-    part = F.pmod(F.xxhash64(*order), F.lit(RANK_PARTS))
-    parted = pieces.withColumn("_part", part)
+    parts = [(row["length"], _rank_parts(row["count"])) for row in counts]
+    lengths = pieces.sparkSession.createDataFrame(parts, "length long, _parts long")
+    part = F.pmod(F.xxhash64(*order), F.col("_parts"))
+    parted = pieces.join(F.broadcast(lengths), "length").select(*pieces.columns, part.alias("_part"))
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # At most capacity x RANK_PARTS rows.
+    # At most capacity x SOME_PARTS rows, and one for each RANK_ROWS pieces.
     offsets = (
         parted.groupBy("length", "_part")
         .count()
