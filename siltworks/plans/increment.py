@@ -23,7 +23,7 @@ from siltworks.operators import rules
 from siltworks.operators.distinct import append_all
 from siltworks.operators.joins import is_in
 from siltworks.operators.keys import dense_key, extend_keys
-from siltworks.operators.ledger import remember, remembered
+from siltworks.operators.ledger import BUCKETS, remember, remembered
 from siltworks.operators.status import LOADED, QUARANTINED, apply_status
 from siltworks.plans import refine
 from siltworks.plans.spec import Spec
@@ -35,10 +35,12 @@ BY_DAY = ["ingestdate", "load"]
 
 
 class Layers:
-    """The tables of a database that is refreshed load by load."""
+    """The tables of a database that is refreshed load by load; ``buckets`` are those of the ledger."""
 
-    def __init__(self, spark: SparkSession, root: str, database: str, spec: Spec, keep: int = 2):
-        self.spark, self.spec, self.keep = spark, spec, keep
+    def __init__(
+        self, spark: SparkSession, root: str, database: str, spec: Spec, keep: int = 2, buckets: int = BUCKETS
+    ):
+        self.spark, self.spec, self.keep, self.buckets = spark, spec, keep, buckets
         names = {**spec.tables, "progress": "finished_loads", "ledger": "unrepaired_records"}
         self.tables = {role: f"{database}.{name}" for role, name in names.items()}
         self.paths = {role: f"{root.rstrip('/')}/{name}" for role, name in names.items()}
@@ -120,7 +122,7 @@ class Layers:
                 self.spark, self.tables["bronze"], self.paths["bronze"], touched.select(*BY_DAY),
                 lambda old: apply_status(old, keys, LOADED, on=spec.record), self.keep,
             )
-        remember(stuck, spec.record, ledger, self.paths["ledger"], load)
+        remember(stuck, spec.record, ledger, self.paths["ledger"], load, self.buckets)
 
     def _records(self, stuck: DataFrame, known: DataFrame) -> DataFrame:
         keys = settle(known.select("_row_key").distinct(), "keys", plain=True)

@@ -79,7 +79,7 @@ def test_stream(spark, tmp_path, database):
     land.mkdir()
     _write(land / "movie_0.json", MOVIES[:7])
     _write(land / "movie_1.json", MOVIES[7:])
-    layers = increment.Layers(spark, staged_path(spark, "layers"), database, spec)
+    layers = increment.Layers(spark, staged_path(spark, "layers"), database, spec, buckets=4)
 
     def run():
         stream = landing.stream_landing(spark, str(land), MOVIE_SCHEMA, name_glob="movie*", files_per_batch=1)

@@ -95,7 +95,7 @@ def duplicates_incremental(spark, sf_dir):
     """Texts of a second load that are held more than once, here and in the first."""
     name, path = _in_database(spark, "seen"), staged_path(spark, "seen")
     texts = table(spark, sf_dir, "documents")
-    ledger.remember(texts.filter("doc_id % 3 <> 0"), "text", name, path, "first")
+    ledger.remember(texts.filter("doc_id % 3 <> 0"), "text", name, path, "first", buckets=8)
     return ledger.duplicates_across(texts.filter("doc_id % 3 = 0"), "text", name)
 
 
@@ -116,7 +116,7 @@ def snapshot_changes(spark, sf_dir):
 @query
 def incremental_refresh(spark, sf_dir):
     """Bronze, silver and dimensions of three loads, the last of them copies of earlier records."""
-    layers = increment.Layers(spark, staged_path(spark, "layers"), _in_database(spark, "increment").replace(".", "_"), SPEC)
+    layers = increment.Layers(spark, staged_path(spark, "layers"), _in_database(spark, "increment").replace(".", "_"), SPEC, buckets=8)
     rows = bronze(spark, sf_dir).select("value.*")
     # Copies of a record lie side by side in bronze; the second of each comes with the last load.
     once = rows.dropDuplicates(["Id"])
@@ -171,7 +171,7 @@ def stream_silver(spark, sf_dir):
     packed = documents.documents_of(rows, "movie", ROWS_PER_DOCUMENT, ["Id"], replayable=True)
     source = staged_path(spark, "landing")
     packed.drop("document").write.json(source)
-    layers = increment.Layers(spark, staged_path(spark, "layers"), _in_database(spark, "stream").replace(".", "_"), SPEC)
+    layers = increment.Layers(spark, staged_path(spark, "layers"), _in_database(spark, "stream").replace(".", "_"), SPEC, buckets=8)
     stream = landing.stream_landing(
         spark, source, packed.select("movie").schema, name_glob="part-*", multi_line=False
     )
