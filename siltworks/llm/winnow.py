@@ -49,7 +49,8 @@ class Anchors:
         grams = span_hash(sums, starts, starts + gram)
         of_window = sliding_argmin(grams, reach + 1)
         places, first, count = np.unique(of_window, return_index=True, return_counts=True)
-        self.hashes = grams[places]
+        #: Least hashes lie at the low end; mixed once more, they fill even ranges evenly.
+        self.hashes = mix(grams[places])
         # Of each anchor: its place in the text, its first window and their number.
         self.places, self.first, self.count = places + low, first + low, count
         left = np.maximum(self.places - reach, 0)

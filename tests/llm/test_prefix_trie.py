@@ -90,7 +90,7 @@ def test_trie(spark, rows):
     frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
     frame = frame.withColumns({name: F.lit(name) for name in ("depth", "PLACE", "n_convs", "x1", "words", "_n")})
     turns = plain_turns(rows)
-    for block_turns in (4, 1, 3):
+    for block_turns in (4, 1, 3) if rows is AWKWARD else (4,):
         found = prefix_trie.conversation_trie(frame, block_turns=block_turns)
         assert found.columns == prefix_trie.RESULTS
         assert as_multiset(found.collect()) == as_multiset(plain_trie(turns))
