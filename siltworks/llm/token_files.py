@@ -37,6 +37,10 @@ END = 1
 # Sequences of a batch, and of a file before it ends at the next end of a document.
 BATCH = 256
 FILE_SEQUENCES = 2048
+# Rows and bytes of texts that are encoded at a time. Arrays of 8 bytes for each byte and each word
+# come and go meanwhile, so few texts at a time keep a worker small.
+ROWS = 1024
+TEXT_BYTES = 1 << 19
 # Bytes of texts in one range of the documents' order.
 RANGE_BYTES = 32 << 20
 # An Arrow file ends with these bytes. Spark's text writer puts them after each value,
@@ -64,7 +68,8 @@ def file_of(
     rows = -(-total // length)
     ids = np.zeros(rows * length, id_type)
     np.concatenate(tokens, out=ids[:total], casting="same_kind")
-    mask = np.arange(rows * length) < total
+    mask = np.zeros(rows * length, bool)
+    mask[:total] = True
     schema = sequence_schema(length, id_type)
     documents = pa.StructArray.from_arrays(
         [pa.array(keys, pa.int64()), pa.array((starts % length).astype(np.int32)), pa.array(sizes)],
@@ -198,18 +203,20 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([value], names=["value"])
 
         for batch in batches:
-            texts, own = binary_texts(batch, "_text"), batch.column(0).to_pylist()
-            for first, last in blocks(texts):
-                for row, ids in enumerate(encoder.encode(texts[first:last]), first):
-                    if ids.max(initial=end) > limit:
-                        raise ValueError(f"an id of {int(ids.max())} is no {id_type}")
-                    keys.append(own[row])
-                    tokens.append(np.append(ids, np.uint32(end)).astype(id_type))
-                    held += len(tokens[-1])
-                    if held >= least:
-                        yield file()
-                        keys, tokens, held = [], [], 0
-                        place["number"] += 1
+            for at in range(0, batch.num_rows, ROWS):
+                some = batch.slice(at, ROWS)
+                texts, own = binary_texts(some, "_text"), some.column(0).to_pylist()
+                for first, last in blocks(texts, TEXT_BYTES):
+                    for row, ids in enumerate(encoder.encode(texts[first:last]), first):
+                        if ids.max(initial=end) > limit:
+                            raise ValueError(f"an id of {int(ids.max())} is no {id_type}")
+                        keys.append(own[row])
+                        tokens.append(np.append(ids, np.uint32(end)).astype(id_type))
+                        held += len(tokens[-1])
+                        if held >= least:
+                            yield file()
+                            keys, tokens, held = [], [], 0
+                            place["number"] += 1
         if keys:
             yield file()
 

@@ -80,7 +80,10 @@ class WordTokens:
         self._forget()
 
     def _forget(self) -> None:
-        self.slots: dict[int, int] = {}
+        # Hashes of the known words in ascending order, and where each word's ids are. Numbers in
+        # arrays, as a dictionary of a million words takes some 200 MB in every worker.
+        self.hashes = np.zeros(0, np.uint64)
+        self.slots = np.zeros(0, np.int64)
         self.lengths = np.zeros(1 << 12, np.int64)
         self.offsets = np.zeros(1 << 12, np.int64)
         self.flat = np.zeros(1 << 14, np.uint32)
@@ -91,7 +94,9 @@ class WordTokens:
             self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32
         )
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Encode new words, whose hashes are ascending and not known yet."""
+        known = len(self.hashes)
         for at in range(0, len(words), 1024):
             part = words[at : at + 1024]
             # Blanks part words, so many are encoded as one text and told apart by offsets.
@@ -101,7 +106,7 @@ class WordTokens:
             at_char = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(ids))
             of = np.searchsorted(np.cumsum(sizes + 1), at_char, "right")
             lengths = np.bincount(of, minlength=len(part))
-            slot = len(self.slots)
+            slot = known + at
             self.lengths = _room(self.lengths, slot + len(part))
             self.offsets = _room(self.offsets, slot + len(part))
             self.flat = _room(self.flat, self.used + len(ids))
@@ -109,7 +114,9 @@ class WordTokens:
             self.offsets[slot : slot + len(part)] = self.used + np.cumsum(lengths) - lengths
             self.flat[self.used : self.used + len(ids)] = ids
             self.used += len(ids)
-            self.slots.update(zip(hashes[at : at + 1024], range(slot, slot + len(part))))
+        places = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, places, hashes)
+        self.slots = np.insert(self.slots, places, np.arange(known, known + len(words)))
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         if self.used > KNOWN_TOKENS:
@@ -120,13 +127,16 @@ class WordTokens:
         ends = np.sort(np.concatenate([words.ends, cut]))
         words.starts, words.ends = starts, ends
         hashes, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        new_hashes, new_words = [], []
-        for value, at in zip(hashes.tolist(), first.tolist()):
-            if value not in self.slots:
-                new_hashes.append(value)
-                new_words.append(words.bytes[starts[at] : ends[at]].decode())
-        self._learn(new_hashes, new_words)
-        slots = np.fromiter((self.slots[v] for v in hashes.tolist()), np.int64, len(hashes))[which]
+        at = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != hashes[inside]
+        places = first[new]
+        self._learn(
+            hashes[new],
+            [words.bytes[a:b].decode() for a, b in zip(starts[places].tolist(), ends[places].tolist())],
+        )
+        slots = self.slots[np.searchsorted(self.hashes, hashes)][which]
         lengths = self.lengths[slots]
         ends_at = np.cumsum(lengths)
         take = np.repeat(self.offsets[slots] - (ends_at - lengths), lengths)

@@ -1,6 +1,8 @@
 """Token files: exact round trips, random access without copies, and order."""
 
 import glob
+import string
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -116,3 +118,24 @@ def test_encoders(tmp_path):
         plain = Tokenizer.from_file(path)
         for text, ids in zip(texts, encoder_of(path).encode(texts)):
             assert ids.tolist() == plain.encode((text or b"").decode(), add_special_tokens=False).ids
+
+
+def test_known_words_are_small():
+    """A worker keeps the words it knows in arrays: some 40 bytes a word, and their ids."""
+    tokens = WordTokens(encoder_of(TOKENIZER).tokenizer)
+    words = [f"{a}{b}{c}" for a in string.ascii_lowercase for b in string.ascii_lowercase for c in ("xq", "zj", "kv", "wu")]
+    words += [word + end for word in words for end in ("ab", "cd", "ef", "gh", "ij", "kl", "mn", "op", "qr")]
+    tracemalloc.start()
+    try:
+        tokens._forget()
+        before = tracemalloc.get_traced_memory()[0]
+        for at in range(0, len(words), 5000):
+            tokens.encode([" ".join(words[at : at + 5000]).encode()])
+        used = tracemalloc.get_traced_memory()[0] - before
+    finally:
+        tracemalloc.stop()
+    assert used < 130 * len(words)
+    assert len(tokens.hashes) == len(words) and (np.diff(tokens.hashes.astype(object)) > 0).all()
+    plain = PlainTokens(tokens.tokenizer)
+    for text in (b"", " ".join(words[::7]).encode()):
+        assert tokens.encode([text])[0].tolist() == plain.encode([text])[0].tolist()
