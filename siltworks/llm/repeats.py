@@ -81,7 +81,8 @@ class Places:
         self.count = joined("count", np.int64)
         hashes, contexts = joined("hashes", np.uint64), joined("contexts", np.uint64)
         self.key = np.array(keys, np.int64)[self.row] if len(keys) else np.zeros(0, np.int64)
-        order = np.lexsort((self.first, self.place, self.row, self.key, contexts, hashes))
+        # Anchors come by row, place and first window, and the sort is stable.
+        order = np.lexsort((self.key, contexts, hashes))
         h, x = hashes[order], contexts[order]
         new = np.append(True, (h[1:] != h[:-1]) | (x[1:] != x[:-1]))[: len(order)]
         self.head = order[new]

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -105,6 +106,28 @@ def test_sliding_argmin():
         assert sliding_argmin(values, width).tolist() == wanted
 
 
+def test_sliding_argmin_is_quick():
+    """Whole runs of values are compared, not looked up one by one at every doubling."""
+    values = np.random.default_rng(3).integers(0, 1 << 40, 300_000).astype(np.uint64)
+
+    def by_lookups():
+        places, span = np.arange(len(values)), 1
+        while span <= 51:
+            step = min(span, 51 - span)
+            left, right = places[: len(places) - step], places[step:]
+            places, span = np.where(values[right] < values[left], right, left), 2 * span
+        return places
+
+    def seconds(work):
+        start = time.perf_counter()
+        work()
+        return time.perf_counter() - start
+
+    assert sliding_argmin(values, 51).tolist() == by_lookups().tolist()
+    quick = min(seconds(lambda: sliding_argmin(values, 51)) for _ in range(7))
+    assert quick < 0.6 * min(seconds(by_lookups) for _ in range(7))
+
+
 def plain_repeats(rows, window):
     """Rows in the order of their ids; rows with equal ids are equal here."""
     seen, found = set(), []
