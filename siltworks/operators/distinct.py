@@ -12,6 +12,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 
 from siltworks.functions.identity import row_key
 from siltworks.operators.joins import is_in
+from siltworks.session import open_files
 from siltworks.staging import settle, staged_path
 
 # A repeated hash gets so many bits of a bitmap, between these limits; 2 ** 30 bits are 128 MB.
@@ -97,7 +98,8 @@ def distinct_records(df: DataFrame) -> DataFrame:
     bits = _mark_bits(copies)
     rows = marked(keyed, hash_marks(repeated, bits), bits, "_again").drop("_row_key")
     path = staged_path(df.sparkSession, "records")
-    rows.write.partitionBy("_again").parquet(path)
+    with open_files(df.sparkSession, 2):
+        rows.write.partitionBy("_again").parquet(path)
     schema = StructType([*df.schema.fields, StructField("_again", BooleanType())])
     staged = df.sparkSession.read.schema(schema).parquet(path)
     single = staged.filter(~F.col("_again")).drop("_again")

@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltworks.operators.keys import dense_key
+from siltworks.session import open_files
 from siltworks.sources.files import directly_in
 
+# Chunks whose files a task writes side by side; a writer of JSON holds some kilobytes.
+CHUNKS_AT_ONCE = 64
+
 
 def read_json(
     spark: SparkSession,
@@ -101,8 +105,13 @@ def split_documents(documents: DataFrame, array: str, chunks: int) -> DataFrame:
 
 
 def write_chunks(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write rows with a ``chunk`` column as JSON Lines, one folder per chunk."""
-    df.write.mode(mode).partitionBy("chunk").json(path)
+    """Write rows with a ``chunk`` column as JSON Lines, one folder per chunk.
+
+    Rows of up to ``CHUNKS_AT_ONCE`` chunks are written as they come, without a sort of a
+    task's rows, which are several times its input where chunks overlap.
+    """
+    with open_files(df.sparkSession, CHUNKS_AT_ONCE):
+        df.write.mode(mode).partitionBy("chunk").json(path)
 
 
 def documents_of(

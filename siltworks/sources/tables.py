@@ -9,8 +9,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql.types import StructType
 
+from siltworks.session import open_files
 from siltworks.staging import delete_folder
 
+# Partitions that a task writes side by side. A Parquet writer holds up to a row group of 128 MB.
+PARTITIONS_OPEN = 4
+
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     """Scan a catalog table by name."""
@@ -39,8 +43,13 @@ def table_writer(
 
 
 def write_table(df: DataFrame, path: str, **options) -> None:
-    """Write to ``path``; options are those of :func:`table_writer`."""
-    table_writer(df, **options).save(path)
+    """Write to ``path``; options are those of :func:`table_writer`.
+
+    The rows of the first ``PARTITIONS_OPEN`` partitions that a task meets are written as they
+    come, so a table with few partitions is not sorted by them.
+    """
+    with open_files(df.sparkSession, PARTITIONS_OPEN):
+        table_writer(df, **options).save(path)
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:

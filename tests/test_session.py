@@ -3,8 +3,13 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
+from siltworks import session
+from siltworks.operators import distinct
 from siltworks.session import sized_session, with_shared_folder
+from siltworks.sources import documents, tables
 from siltworks.staging import passing, settle, shared_folder, staged_path
 
 NAME = "spark.sql.shuffle.partitions"
@@ -103,3 +108,38 @@ def test_a_session_must_name_the_shared_folder(spark):
         shared_folder(with_shared_folder(session("local-cluster[3,2,1024]")))
     folder = shared_folder(spark)
     assert staged_path(spark, "x").startswith(folder + "/")
+
+
+def test_writes_by_partition_need_no_sort(spark, tmp_path, monkeypatch):
+    """Rows of a few partitions are written as they come; of many, the rest is sorted."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen = spark.conf.get(name, None), []
+    rows = spark.range(2000, numPartitions=2).select("id", (F.col("id") % 8).cast("int").alias("chunk"))
+
+    def noted(method):
+        plain = getattr(DataFrameWriter, method)
+
+        def write(self, path):
+            seen.append(int(spark.conf.get(name)))
+            return plain(self, path)
+
+        monkeypatch.setattr(DataFrameWriter, method, write)
+
+    for method in ("json", "save", "parquet"):
+        noted(method)
+    documents.write_chunks(rows, f"{tmp_path}/chunks")
+    tables.write_table(rows, f"{tmp_path}/table", partition_by=["chunk"])
+    distinct.distinct_records(rows.union(rows.filter("id < 5"))).count()
+    assert seen[0] >= 8 and seen[1] < 8 and seen[-1] == 2
+    assert spark.conf.get(name, None) == before
+    for found in (spark.read.schema("id long, chunk int").json(f"{tmp_path}/chunks"), spark.read.parquet(f"{tmp_path}/table")):
+        assert sorted(map(tuple, found.select("id", "chunk").collect())) == [(i, i % 8) for i in range(2000)]
+    spark.sql("CREATE TABLE open_files_test (id bigint, chunk int) USING parquet PARTITIONED BY (chunk)")
+    try:
+        rows.createOrReplaceTempView("open_files_rows")
+        insert = "EXPLAIN INSERT INTO open_files_test SELECT id, chunk FROM open_files_rows"
+        assert "Sort [" in spark.sql(insert).first()[0]
+        with session.open_files(spark, 8):
+            assert "Sort [" not in spark.sql(insert).first()[0]
+    finally:
+        spark.sql("DROP TABLE open_files_test")
