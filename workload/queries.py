@@ -802,9 +802,11 @@ def full_refresh(spark, sf_dir):
     packed = documents.documents_of(rows, "movie", ROWS_PER_DOCUMENT, ["Id"], replayable=True)
     source = staged_path(spark, "landing")
     packed.drop("document").write.json(source)
-    # Records in folders below the landing folder are not its own.
+    # Records in folders below the landing folder are not its own. They are the same lines, so
+    # they are copied, and as such folders often are, compressed.
+    lines = spark.read.text(f"{source}/part-*")
     for below in ("day=1", "older"):
-        packed.drop("document").write.json(f"{source}/{below}")
+        lines.write.option("compression", "gzip").text(f"{source}/{below}")
     schema = packed.select("movie").schema
     current = spark.catalog.currentDatabase()
     named = refine.refine(
