@@ -29,7 +29,7 @@ from siltworks.plans import refine
 from siltworks.plans.spec import Spec
 from siltworks.sources.snapshots import add_partitions, current_snapshot, publish_swap, replace_partitions
 from siltworks.sources.tables import ensure_database
-from siltworks.staging import passing, settle
+from siltworks.staging import passing, settle, staged_path
 
 BY_DAY = ["ingestdate", "load"]
 
@@ -80,7 +80,8 @@ class Layers:
 
         ``ingestdate`` is today's by default. Tables and their meaning are those of ``refine``
         over all loads together, but that keys are given out load by load, and that silver and
-        the bridge have the column ``load``, the first that brought a record.
+        the bridge have the column ``load``, the first that brought a record. ``documents`` are read
+        once, and may be of another session.
         """
         if load in self.finished():
             return False
@@ -88,7 +89,10 @@ class Layers:
             rows = refine.bronze_rows(documents, array, self.spec, datasource)
             if ingestdate is not None:
                 rows = rows.withColumn("ingestdate", F.lit(ingestdate))
-            self._bronze(settle(rows, "load"), load)
+            # Read back in the session of the tables; that of the documents may be a batch's own.
+            path = staged_path(self.spark, "load")
+            rows.write.parquet(path)
+            self._bronze(self.spark.read.schema(rows.schema).parquet(path), load)
             new = self.part("bronze", load)
             self._dimensions(new)
             self._bridge(new, load)
@@ -155,8 +159,10 @@ class Layers:
         Silver is compared by hash first; only records whose hash the load has too are read whole.
         """
         spec, others = self.spec, self._others("silver", load)
-        records = settle(refine.silver(new, self.read("attribute"), spec), "silver")
+        records = refine.silver(new, self.read("attribute"), spec)
         if others is not None:
+            # Read twice, so written first.
+            records = settle(records, "silver")
             columns = records.columns
             hashes = settle(records.select(row_key(*columns).alias("_row_key")).distinct(), "hashes", plain=True)
             keyed = others.select(*columns, row_key(*columns).alias("_row_key"))

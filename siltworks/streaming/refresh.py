@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from siltworks.plans.increment import Layers
-from siltworks.staging import delete_folder, staged_path
 
 # Fixed value: the property in which a batch finds the identity of its query.
 QUERY_ID = "sql.streaming.queryId"
@@ -32,12 +31,8 @@ def refine_available(
         name = load_name(query, number)
         if name in layers.finished():
             return
-        # The batch's own session lasts as long as the batch.
-        path = staged_path(layers.spark, "batch")
-        batch.select(array).write.parquet(path)
-        rows = layers.spark.read.schema(batch.select(array).schema).parquet(path)
-        layers.run(rows, name, array, datasource)
-        delete_folder(layers.spark, path)
+        # The batch's own session lasts as long as the batch; a load reads it once, and no later.
+        layers.run(batch, name, array, datasource)
 
     return (
         documents.writeStream.foreachBatch(load)

@@ -6,6 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from siltworks import staging
 from siltworks.plans import checks, increment, refine
 from siltworks.plans.checks import ObservedState
 from siltworks.plans.spec import MOVIE_ARRAY, MOVIE_DATASOURCE, MOVIE_FILES, MOVIE_SCHEMA, movie_spec
@@ -96,3 +97,22 @@ def test_stream(spark, tmp_path, database):
     _write(land / "movie_2.json", [(30, 2e6, 1, "it", [])])
     run()
     assert len(layers.finished()) == 3 and layers.read("silver").filter("Id = 30").count() == 1
+
+
+def test_stream_stages_a_batch_once(spark, tmp_path, database, monkeypatch):
+    """A batch is read once, into the rows of its load; a first silver is not written twice."""
+    spec, land, labels = movie_spec(), tmp_path / "land", []
+    land.mkdir()
+    _write(land / "movie_0.json", MOVIES)
+    layers = increment.Layers(spark, staged_path(spark, "layers"), database, spec, buckets=4)
+
+    def noted(session, label):
+        labels.append(label)
+        return staged_path(session, label)
+
+    for module in (staging, increment, refresh):
+        monkeypatch.setattr(module, "staged_path", noted, raising=False)
+    stream = landing.stream_landing(spark, str(land), MOVIE_SCHEMA, name_glob="movie*")
+    refresh.refine_available(stream, layers, "movie", "x", str(tmp_path / "checkpoint")).awaitTermination()
+    assert layers.read("bronze").count() == len(MOVIES)
+    assert labels.count("load") == 1 and "batch" not in labels and "silver" not in labels
